@@ -19,6 +19,7 @@ from remitlens.operators.dedupe import mark_latest
 from remitlens.operators.ledger import append_rejects, not_in_ledger
 from remitlens.operators.merge import merge_claims
 from remitlens.operators.modifiers import replace_modifiers
+from remitlens.session import materialise
 
 
 @dataclass
@@ -125,9 +126,12 @@ def cleanse_and_load(
     source_file: str,
     as_of: dt.date | str,
 ) -> CleanseResult:
-    """Cleanse one source file against the current snapshots and return the next ones."""
+    """Cleanse one source file against the current snapshots and return the next ones.
+
+    The labelled rows feed all three results, so they are written once in between.
+    """
     raw = staging.filter(F.col("source_file_name") == source_file)
-    labelled = label_rows(normalize(raw), members, providers, as_of)
+    labelled = materialise(label_rows(normalize(raw), members, providers, as_of))
     accepted = accepted_rows(labelled, rejects)
     return CleanseResult(
         claims=merge_claims(claims, accepted),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ SETTINGS = {
     # Sides are broadcast only when Spark has measured them below this size;
     # above it the same join runs as a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A shuffled side whose measured partitions are all small is hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -31,21 +34,27 @@ def build_session(app_name: str = "remitlens", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; fall back to a temporary folder in local mode."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="remitlens-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+        elif sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="remitlens-checkpoint-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return sc.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder, for a result that is read several times."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder, for a result that is read several times.
+
+    The copy is columnar, so later reads fetch only their columns, its size is known to
+    the optimizer, and losing an executor never recomputes what stands before it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/remitlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -73,7 +73,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or list(QUERIES)
     spark = build_session(master="local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)

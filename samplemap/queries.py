@@ -30,6 +30,8 @@ CATCH_UP_DAY = dt.date(2001, 8, 6)
 BACKFILL = ("1995-01-01", "2001-08-31")
 DAY_ZERO = "1995-01-01"
 
+SOURCES = {"claims", "members", "providers", "config", "rules", "benefits", "fees", "auths",
+           "staging", "partition_log"}
 FACT_COLUMNS = [c for c in columns("fact_claim_denial_daily") if c != "partition_loaded_utc"]
 LOG_COLUMNS = ["partition_date", "rows_written", "source_rows_read", "rejected_rows",
                "load_status", "load_message"]
@@ -51,41 +53,11 @@ class Run:
         self.spark = spark
         self.sample = Sample(spark, sf_dir)
 
-    @cached_property
-    def claims(self) -> DataFrame:
-        return self.sample.claims()
-
-    @cached_property
-    def members(self) -> DataFrame:
-        return self.sample.members()
-
-    @cached_property
-    def providers(self) -> DataFrame:
-        return self.sample.providers()
-
-    @cached_property
-    def config(self) -> DataFrame:
-        return self.sample.config()
-
-    @cached_property
-    def rules(self) -> DataFrame:
-        return self.sample.rules()
-
-    @cached_property
-    def benefits(self) -> DataFrame:
-        return self.sample.benefits()
-
-    @cached_property
-    def fees(self) -> DataFrame:
-        return self.sample.fees()
-
-    @cached_property
-    def auths(self) -> DataFrame:
-        return self.sample.auths()
-
-    @cached_property
-    def log(self) -> DataFrame:
-        return self.sample.partition_log()
+    def __getattr__(self, name: str) -> DataFrame:
+        """Source tables by name."""
+        if name in SOURCES:
+            return getattr(self.sample, name)
+        raise AttributeError(name)
 
     @property
     def engine_inputs(self) -> tuple[DataFrame, ...]:
@@ -116,11 +88,7 @@ class Run:
 
     @cached_property
     def health(self) -> DataFrame:
-        return health.pipeline_health(self.claims, self.log)
-
-    @cached_property
-    def staging(self) -> DataFrame:
-        return self.sample.staging()
+        return health.pipeline_health(self.claims, self.partition_log)
 
     def labelled(self, file: str) -> DataFrame:
         rows = cleanse.normalize(self.staging.filter(F.col("source_file_name") == file))
@@ -154,7 +122,7 @@ class Run:
             denials=adj.denials(outcome),
             trace=adj.rule_trace(outcome, self.rules),
             fact=materialise(self.fact_of(claims)),
-            log=self.log,
+            log=self.partition_log,
             members=self.members,
             providers=self.providers,
             rules=self.rules,
@@ -417,7 +385,7 @@ def _load_outcomes(r: Run) -> DataFrame:
 
 @query
 def partition_log_merge(r: Run) -> DataFrame:
-    return merge_partition_log(r.log, _load_outcomes(r)).select(*LOG_COLUMNS)
+    return merge_partition_log(r.partition_log, _load_outcomes(r)).select(*LOG_COLUMNS)
 
 
 @query
@@ -435,12 +403,12 @@ def load_dates_results(r: Run) -> DataFrame:
 
 @query
 def backfill_pending_dates(r: Run) -> DataFrame:
-    return warehouse.backfill_dates(r.log, *BACKFILL)
+    return warehouse.backfill_dates(r.partition_log, *BACKFILL)
 
 
 @query
 def catch_up_dates(r: Run) -> DataFrame:
-    return warehouse.catch_up_dates(r.log, CATCH_UP_DAY)
+    return warehouse.catch_up_dates(r.partition_log, CATCH_UP_DAY)
 
 
 @query
@@ -472,7 +440,7 @@ def pipeline_health(r: Run) -> DataFrame:
 @query
 def rolling_volume_baseline(r: Run) -> DataFrame:
     days = calendar_from_bounds(r.claims, "service_from_date").join(
-        r.log.select("partition_date", "rows_written"), "partition_date", "left"
+        r.partition_log.select("partition_date", "rows_written"), "partition_date", "left"
     )
     mean = health.trailing_mean(days, "partition_date", "rows_written", "mean_rows")
     return mean.select(

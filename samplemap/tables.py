@@ -5,11 +5,9 @@ Only integer arithmetic and string formatting, so that any engine derives the sa
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.schemas import columns
 from remitlens.sources.reference import (
@@ -31,82 +29,96 @@ FILES = ["claims_a", "claims_b"]
 AS_OF = "2026-01-01"
 
 
-def h(n: Column | str, salt: int, size: Column | int) -> Column:
+def h(n: str, salt: int, size: int | str) -> str:
     """Spread an integer over 0..size-1, the same way in every engine."""
-    n = F.col(n) if isinstance(n, str) else n
-    size = F.lit(size) if isinstance(size, int) else size
-    seed = (n.cast("bigint") + 1) % PRIME
-    return (seed * F.lit(salt * STEP).cast("bigint") % PRIME) % size
+    return f"((cast({n} as bigint) + 1) % {PRIME} * {salt * STEP}L % {PRIME} % {size})"
 
 
-def _cents(amount: Column) -> Column:
-    return amount.cast("decimal(12,2)")
+def padded(prefix: str, number: str, width: int) -> str:
+    """Prefix and zero-padded number; a number wider than the padding keeps all its digits."""
+    text = f"cast({number} as string)"
+    return f"concat('{prefix}', lpad({text}, greatest(length({text}), {width}), '0'))"
 
 
-def _id(prefix: str, number: Column, width: int) -> Column:
-    """Prefix and zero-padded number; a number wider than the padding keeps all its digits."""
-    text = number.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
+def provider_type(suppkey: str) -> str:
+    names = ", ".join(f"'{t}'" for t in PROVIDER_TYPES)
+    return f"element_at(array({names}), cast({suppkey} % 10 + 1 as int))"
+
+
+CENTS = "cast({0} as decimal(12,2))"
+CLAIM_VALUES = {
+    "claim_id": padded("CLM-", "n", 9),
+    "member_id": padded("M6", "o_custkey", 7),
+    "provider_id": padded("P8", "suppkey", 5),
+    "procedure_code": f"concat('C', lpad(cast(suppkey % 10 * 3 + {h('n', 113, 3)} as string), 3, '0'))",
+    "units": f"cast(if(suppkey % 10 = 4, 8 + {h('n', 127, 33)}, 1) as smallint)",
+    "service_from_date": f"date_add(order_day, cast({h('n', 107, 4)} as int))",
+    "roll": h("n", 109, 1000),
+}
+LAG_DAYS = """cast(case when roll < 40 then 91 + roll % 5
+                        when roll < 70 then 100 + roll * 5
+                        else 2 + roll % 80 end as int)"""
 
 
-@dataclass
 class Sample:
     """Lazy views over one directory of driver tables."""
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.raw = cache(self._read)
 
-    def raw(self, name: str) -> DataFrame:
+    def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ---- dimensions
 
+    @cached_property
     def members(self) -> DataFrame:
-        key = F.col("c_custkey")
-        ends = F.when(
-            h(key, 23, 1000) < 22,
-            F.date_add(F.lit("1996-01-01").cast("date"), h(key, 29, 1500).cast("int")),
-        )
-        return self.raw("customer").select(
-            _id("M6", key, 7).alias("member_id"),
-            F.col("c_mktsegment").alias("lob"),
-            F.lit("1990-01-01").cast("date").alias("coverage_eff_date"),
-            ends.alias("coverage_term_date"),
-            _id("", F.col("c_nationkey") + 101, 3).alias("county_code"),
+        return self.raw("customer").selectExpr(
+            f"{padded('M6', 'c_custkey', 7)} as member_id",
+            "c_mktsegment as lob",
+            "date '1990-01-01' as coverage_eff_date",
+            f"""case when {h('c_custkey', 23, 1000)} < 22
+                     then date_add(date '1996-01-01', cast({h('c_custkey', 29, 1500)} as int))
+                end as coverage_term_date""",
+            f"{padded('', 'c_nationkey + 101', 3)} as county_code",
         )
 
+    @cached_property
     def providers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        late = h(key, 67, 1000) < 60
-        return self.raw("supplier").select(
-            _id("P8", key, 5).alias("provider_id"),
-            F.when(key >= 4, _id("P8", F.floor(key / 4).cast("bigint"), 5)).alias(
-                "parent_provider_id"
-            ),
-            F.col("s_name").alias("provider_name"),
-            _id("", key + 1000000000, 10).alias("npi"),
-            _provider_type(key).alias("provider_type"),
-            (h(key, 61, 100) >= 16).alias("participating_flag"),
-            F.when(late, F.lit("1998-01-01")).otherwise(F.lit("1990-01-01")).cast("date").alias(
-                "contract_eff_date"
-            ),
-            F.lit(None).cast("date").alias("contract_term_date"),
+        return self.raw("supplier").selectExpr(
+            f"{padded('P8', 's_suppkey', 5)} as provider_id",
+            f"if(s_suppkey >= 4, {padded('P8', 's_suppkey div 4', 5)}, null) as parent_provider_id",
+            "s_name as provider_name",
+            f"{padded('', 's_suppkey + 1000000000', 10)} as npi",
+            f"{provider_type('s_suppkey')} as provider_type",
+            f"{h('s_suppkey', 61, 100)} >= 16 as participating_flag",
+            f"""if({h('s_suppkey', 67, 1000)} < 60, date '1998-01-01', date '1990-01-01')
+                as contract_eff_date""",
+            "cast(null as date) as contract_term_date",
         )
 
+    @cached_property
     def config(self) -> DataFrame:
         """The listed keys plus one full-rate key per provider type in use; Dental has none."""
+        full_rate = ", ".join(f"'{t}'" for t in [*FULL_RATE_TYPES, "Pharmacy"])
         types = (
-            self.providers().select("provider_type").distinct()
-            .filter(F.col("provider_type").isin([*FULL_RATE_TYPES, "Pharmacy"]))
+            self.raw("supplier").selectExpr(f"{provider_type('s_suppkey')} as provider_type")
+            .filter(f"provider_type in ({full_rate})")
+            .distinct()
         )
         return base_config(self.spark).unionByName(full_rate_config(types))
 
+    @cached_property
     def rules(self) -> DataFrame:
         return adjudication_rules(self.spark)
 
+    @cached_property
     def benefits(self) -> DataFrame:
         return benefit_categories(self.spark)
 
+    @cached_property
     def fees(self) -> DataFrame:
         """Two open-ended versions per code; code 2 has one version that ends in 1998."""
         rows = []
@@ -119,188 +131,170 @@ class Sample:
 
     # ---- claims
 
+    @cached_property
     def _orders(self) -> DataFrame:
         """Order with its provider and all columns that do not depend on the line."""
-        suppliers = self.raw("supplier").agg(F.count("*")).scalar()
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            "o_custkey",
-            F.to_date("o_orderdate").alias("order_day"),
-            h("o_orderkey", 103, suppliers).alias("suppkey"),
+        provider = h("o_orderkey", 103, "(SELECT count(*) FROM {suppliers})")
+        return self.spark.sql(
+            f"SELECT o_orderkey AS l_orderkey, o_custkey, to_date(o_orderdate) AS order_day, "
+            f"{provider} AS suppkey FROM {{orders}}",
+            orders=self.raw("orders"),
+            suppliers=self.raw("supplier"),
         )
 
-    def _claim_columns(self, lines: DataFrame) -> DataFrame:
-        """Derive the clean values of a claim line (l_orderkey, l_linenumber)."""
-        kind = F.col("suppkey") % 10
-        roll = h("n", 109, 1000)
-        lag = (
-            F.when(roll < 40, 91 + roll % 5)
-            .when(roll < 70, 100 + roll * 5)
-            .otherwise(2 + roll % 80)
-        )
-        service = F.date_add("order_day", h("n", 107, 4).cast("int"))
+    def _claim_lines(self, lines: DataFrame) -> DataFrame:
+        """Derive the clean values of claim lines (l_orderkey, l_linenumber)."""
+        carried = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
         return (
-            lines.withColumn("n", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-            .join(self._orders(), "l_orderkey")
-            .withColumns({
-                "claim_id": _id("CLM-", F.col("n"), 9),
-                "member_id": _id("M6", F.col("o_custkey"), 7),
-                "provider_id": _id("P8", F.col("suppkey"), 5),
-                "procedure_code": F.concat(
-                    F.lit("C"), F.lpad((kind * 3 + h("n", 113, 3)).cast("string"), 3, "0")
-                ),
-                "units": F.when(kind == 4, 8 + h("n", 127, 33)).otherwise(F.lit(1)).cast("smallint"),
-                "service_from_date": service,
-                "received_date": F.date_add(service, lag.cast("int")),
-            })
+            lines.selectExpr("*", "l_orderkey * 8 + l_linenumber as n")
+            .join(self._orders, "l_orderkey")
+            .selectExpr(
+                "l_orderkey", "l_linenumber", "n", "o_custkey", "suppkey", *carried,
+                *[f"{value} as {name}" for name, value in CLAIM_VALUES.items()],
+            )
+            .selectExpr("*", f"date_add(service_from_date, {LAG_DAYS}) as received_date")
         )
 
-    def lobs(self) -> DataFrame:
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("lob")
-        )
+    @cached_property
+    def _lobs(self) -> DataFrame:
+        return self.raw("customer").selectExpr("c_custkey as o_custkey", "c_mktsegment as lob")
 
+    @cached_property
     def claims(self) -> DataFrame:
         """One PENDING claim per (order, line); repeated lines keep the highest price."""
         lines = (
-            self.raw("lineitem").groupBy("l_orderkey", "l_linenumber")
-            .agg(_cents(F.max("l_extendedprice")).alias("billed_amount"))
+            self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").max("l_extendedprice")
+            .toDF("l_orderkey", "l_linenumber", "price")
+            .selectExpr("l_orderkey", "l_linenumber", f"{CENTS.format('price')} as billed_amount")
+        )
+        claims = self._claim_lines(lines).join(self._lobs, "o_custkey").selectExpr(
+            "*",
+            "cast(null as string) as modifier_list",
+            "service_from_date as service_thru_date",
+            "cast(null as date) as adjudicated_date",
+            "cast(null as decimal(12,2)) as expected_allowed_amount",
+            "cast(null as decimal(12,2)) as paid_amount",
+            "'PENDING' as adjudication_status",
         )
-        claims = self._claim_columns(lines).join(self.lobs(), "o_custkey").withColumns({
-            "modifier_list": F.lit(None).cast("string"),
-            "service_thru_date": F.col("service_from_date"),
-            "adjudicated_date": F.lit(None).cast("date"),
-            "expected_allowed_amount": F.lit(None).cast("decimal(12,2)"),
-            "paid_amount": F.lit(None).cast("decimal(12,2)"),
-            "adjudication_status": F.lit("PENDING"),
-        })
         return claims.select(*columns("claim"))
 
+    @cached_property
     def auths(self) -> DataFrame:
         """Authorizations for most claims that need one; some are refused or end too early."""
         lines = self.raw("lineitem").select("l_orderkey", "l_linenumber").distinct()
-        kind = _provider_type(F.col("suppkey"))
-        needed = self.benefits().filter("auth_required_flag").select("provider_type")
-        none_below = F.when(kind == "Transportation", F.lit(88)).otherwise(F.lit(8))
-        early = F.when(h("n", 151, 16) == 0, F.lit(-5)).otherwise(F.lit(30))
+        needed = self.benefits.filter("auth_required_flag").select("provider_type")
         return (
-            self._claim_columns(lines)
-            .withColumn("provider_type", kind)
+            self._claim_lines(lines)
+            .selectExpr("*", f"{provider_type('suppkey')} as provider_type")
             .join(needed, "provider_type", "left_semi")
-            .filter(h("n", 137, 100) >= none_below)
-            .select(
-                F.col("n").alias("auth_id"),
+            .filter(f"{h('n', 137, 100)} >= if(provider_type = 'Transportation', 88, 8)")
+            .selectExpr(
+                "n as auth_id",
                 "member_id",
                 "provider_type",
-                F.date_sub("service_from_date", 30).alias("auth_eff_date"),
-                F.date_add("service_from_date", early).alias("auth_thru_date"),
-                F.when(h("n", 149, 20) == 0, "REFUSED").otherwise("APPROVED").alias("auth_status"),
+                "date_sub(service_from_date, 30) as auth_eff_date",
+                f"""date_add(service_from_date, if({h('n', 151, 16)} = 0, -5, 30))
+                    as auth_thru_date""",
+                f"if({h('n', 149, 20)} = 0, 'REFUSED', 'APPROVED') as auth_status",
             )
         )
 
     # ---- staging
 
+    @cached_property
     def staging(self) -> DataFrame:
         """Raw submissions: every line item is one row of text in one of two files."""
         # Copies of a line are numbered inside 64 slices, so no slice holds all copies of one.
-        slice_no = (F.col("l_partkey") + F.col("l_suppkey") * 31) % 64
-        lines = self.raw("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            _cents(F.col("l_extendedprice")).alias("billed_amount"),
-            slice_no.alias("slice"),
+        lines = (
+            self.raw("lineitem")
+            .selectExpr(
+                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                f"{CENTS.format('l_extendedprice')} as billed_amount",
+                "(l_partkey + l_suppkey * 31) % 64 as slice",
+            )
+            .selectExpr(
+                "l_orderkey", "l_linenumber", "billed_amount",
+                """row_number() over (partition by l_orderkey, l_linenumber, slice
+                                      order by l_partkey, l_suppkey, billed_amount)
+                   * 64L + slice as v""",
+            )
+        )
+        rows = self._claim_lines(lines).join(self._lobs, "o_custkey").selectExpr(
+            "*",
+            "n * 16777216 + v as raw_row_num",
+            # Decides what is wrong with the row.
+            "l_orderkey * 7 + l_linenumber * 13 + v as z",
         )
-        copy = F.row_number().over(
-            W.partitionBy("l_orderkey", "l_linenumber", "slice")
-            .orderBy("l_partkey", "l_suppkey", "billed_amount")
+        return rows.selectExpr(*[f"{text} as {name}" for name, text in _dirt().items()]).select(
+            *columns("claim_import")
         )
-        v = copy.cast("bigint") * 64 + F.col("slice")
-        rows = self._claim_columns(lines.withColumn("v", v)).join(self.lobs(), "o_custkey")
-        rows = rows.withColumn("raw_row_num", F.col("n") * 16777216 + F.col("v"))
-        # Decides what is wrong with the row.
-        z = F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("v")
-        return _dirty(rows.withColumn("z", z)).select(*columns("claim_import"))
 
+    @cached_property
     def partition_log(self) -> DataFrame:
         """A log with every kind of fault, over the dates that have claims."""
-        i = F.datediff("service_from_date", F.lit("1995-01-01").cast("date"))
-        start = F.col("service_from_date").cast("timestamp")
-        rows = (
-            F.when(i % 83 == 0, F.lit(0))
-            .when(i % 79 == 0, F.col("seen") * 3 + 3)
-            .when(i % 73 == 0, F.floor(F.col("seen") / 5))
-            .otherwise(F.col("seen"))
-        ).cast("bigint")
-        failed = i % 89 == 0
         return (
-            self.claims().groupBy("service_from_date").agg(F.count("*").alias("seen"))
-            .filter(i % 97 != 0)
-            .select(
-                F.col("service_from_date").alias("partition_date"),
-                rows.alias("rows_written"),
-                F.col("seen").alias("source_rows_read"),
-                F.when(i % 71 == 0, F.floor(F.col("seen") / 4)).otherwise(F.lit(0)).cast("bigint")
-                .alias("rejected_rows"),
-                start.alias("load_start_utc"),
-                F.timestamp_seconds(F.unix_timestamp(start) + 3 + i % 5).alias("load_end_utc"),
-                F.when(failed, "FAILED").when(i % 67 == 0, "RELOADED").otherwise("SUCCESS").alias(
-                    "load_status"
-                ),
-                F.when(failed, "load error").alias("load_message"),
+            self.claims.groupBy("service_from_date").count()
+            .selectExpr(
+                "service_from_date as partition_date",
+                "count as seen",
+                "datediff(service_from_date, date '1995-01-01') as i",
+                "cast(service_from_date as timestamp) as load_start_utc",
+            )
+            .filter("i % 97 <> 0")
+            .selectExpr(
+                "partition_date",
+                """cast(case when i % 83 = 0 then 0
+                             when i % 79 = 0 then seen * 3 + 3
+                             when i % 73 = 0 then seen div 5
+                             else seen end as bigint) as rows_written""",
+                "seen as source_rows_read",
+                "cast(if(i % 71 = 0, seen div 4, 0) as bigint) as rejected_rows",
+                "load_start_utc",
+                "timestamp_seconds(unix_timestamp(load_start_utc) + 3 + i % 5) as load_end_utc",
+                """case when i % 89 = 0 then 'FAILED' when i % 67 = 0 then 'RELOADED'
+                        else 'SUCCESS' end as load_status""",
+                "if(i % 89 = 0, 'load error', null) as load_message",
             )
         )
 
 
-def _provider_type(suppkey: Column) -> Column:
-    return F.element_at(
-        F.array(*[F.lit(t) for t in PROVIDER_TYPES]), (suppkey % 10 + 1).cast("int")
-    )
-
+def _dirt() -> dict[str, str]:
+    """The text a partner file would hold in place of each clean value, with its errors."""
 
-def _dirty(rows: DataFrame) -> DataFrame:
-    """Turn clean values into the text a partner file would hold, with its errors."""
-    z = F.col("z")
-
-    def every(k: int) -> Column:
-        return z % k == 0
-
-    def as_text(day: Column) -> Column:
+    def dated(day: str) -> str:
         return (
-            F.when(z % 3 == 0, F.date_format(day, "yyyy-MM-dd"))
-            .when(z % 3 == 1, F.date_format(day, "MM/dd/yyyy"))
-            .otherwise(F.date_format(day, "yyyyMMdd"))
+            f"case z % 3 when 0 then date_format({day}, 'yyyy-MM-dd') "
+            f"when 1 then date_format({day}, 'MM/dd/yyyy') else date_format({day}, 'yyyyMMdd') end"
         )
 
-    service, received = F.col("service_from_date"), F.col("received_date")
-    plain = F.col("billed_amount").cast("string")
-    pretty = F.concat(F.lit("$"), F.format_number("billed_amount", 2), F.lit(" "))
-    clean_claim = F.col("claim_id")
-    return rows.select(
-        "raw_row_num",
-        F.when(every(997), F.lit(None))
-        .when(every(5), F.concat(F.lit("  "), F.lower(clean_claim), F.lit(" ")))
-        .otherwise(clean_claim).alias("claim_id"),
-        F.when(every(503), F.lit(None)).when(every(499), F.lit("M69999999"))
-        .otherwise(F.col("member_id")).alias("member_id"),
-        F.when(every(491), F.lit(None)).when(every(487), F.lit("P899999X"))
-        .otherwise(F.col("provider_id")).alias("provider_id"),
-        F.concat(F.lit(" "), F.lower("lob")).alias("lob"),
-        F.col("procedure_code"),
-        F.element_at(
-            F.array(F.lit(None).cast("string"), F.lit("25"), F.lit(" 25|59 | GT "), F.lit("GT||X|59")),
-            (h("n", 139, 4) + 1).cast("int"),
-        ).alias("modifier_list"),
-        F.when(every(257), F.lit("0")).when(every(263), F.lit("x"))
-        .otherwise(F.concat(F.lit(" "), F.col("units").cast("string"), F.lit(" "))).alias("units"),
-        F.when(every(211), F.lit("2026-13-45")).when(every(251), F.lit("2099-01-01"))
-        .otherwise(as_text(service)).alias("service_from_raw"),
-        F.when(every(223), F.lit("")).when(every(227), as_text(F.date_sub(service, 1)))
-        .when(every(251), F.lit("2099-01-01")).otherwise(as_text(service)).alias("service_thru_raw"),
-        F.when(every(229), F.lit("n/a")).when(every(233), as_text(F.date_sub(service, 3)))
-        .when(every(251), F.lit("2099-02-01")).otherwise(as_text(received)).alias("received_raw"),
-        F.when(every(239), F.lit("abc")).when(every(241), F.lit("(85.00)"))
-        .when(every(2), pretty).otherwise(plain).alias("billed_raw"),
-        F.when(z % 4 == 0, F.lit(FILES[1])).otherwise(F.lit(FILES[0])).alias("source_file_name"),
-        F.lit("2026-01-01").cast("timestamp").alias("loaded_utc"),
-    )
-
-
+    def spoilt(clean: str, *errors: tuple[int, str]) -> str:
+        cases = " ".join(f"when z % {k} = 0 then {text}" for k, text in errors)
+        return f"case {cases} else {clean} end"
+
+    service, received = dated("service_from_date"), dated("received_date")
+    return {
+        "raw_row_num": "raw_row_num",
+        "claim_id": spoilt("claim_id", (997, "null"), (5, "concat('  ', lower(claim_id), ' ')")),
+        "member_id": spoilt("member_id", (503, "null"), (499, "'M69999999'")),
+        "provider_id": spoilt("provider_id", (491, "null"), (487, "'P899999X'")),
+        "lob": "concat(' ', lower(lob))",
+        "procedure_code": "procedure_code",
+        "modifier_list": f"""element_at(array(null, '25', ' 25|59 | GT ', 'GT||X|59'),
+                                        cast({h('n', 139, 4)} + 1 as int))""",
+        "units": spoilt("concat(' ', cast(units as string), ' ')", (257, "'0'"), (263, "'x'")),
+        "service_from_raw": spoilt(service, (211, "'2026-13-45'"), (251, "'2099-01-01'")),
+        "service_thru_raw": spoilt(
+            service, (223, "''"), (227, dated("date_sub(service_from_date, 1)")),
+            (251, "'2099-01-01'"),
+        ),
+        "received_raw": spoilt(
+            received, (229, "'n/a'"), (233, dated("date_sub(service_from_date, 3)")),
+            (251, "'2099-02-01'"),
+        ),
+        "billed_raw": spoilt(
+            "cast(billed_amount as string)", (239, "'abc'"), (241, "'(85.00)'"),
+            (2, "concat('$', format_number(billed_amount, 2), ' ')"),
+        ),
+        "source_file_name": f"if(z % 4 = 0, '{FILES[1]}', '{FILES[0]}')",
+        "loaded_utc": "timestamp '2026-01-01 00:00:00'",
+    }

@@ -61,4 +61,6 @@ def raw(spark, *changes: dict) -> DataFrame:
 
 
 def rows(df: DataFrame, *names: str) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+    """Selected values in a fixed order, NULLs first."""
+    got = [tuple(r) for r in df.select(*names).collect()]
+    return sorted(got, key=lambda r: [(v is not None, str(v)) for v in r])

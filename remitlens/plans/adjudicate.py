@@ -76,8 +76,11 @@ def config_settings(config: DataFrame) -> Column:
 
 
 def price_at(pct: Column, precision=RATE) -> Column:
-    """Schedule rate times units at a percentage, rounded half away from zero to cents."""
-    return (F.col("schedule_rate") * F.col("units") * pct / F.lit(Decimal("100.0"))).cast(precision)
+    """Schedule rate times units at a percentage, rounded half away from zero to cents.
+
+    Exact until the cast: multiplying by 0.01 keeps every digit and is cheaper than dividing.
+    """
+    return (F.col("schedule_rate") * F.col("units") * pct * F.lit(Decimal("0.01"))).cast(precision)
 
 
 def resubmitted_groups(claims: DataFrame) -> DataFrame:

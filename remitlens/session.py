@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # A shuffled side whose measured partitions are all small is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
+    # The JVM never compiles a method above 8000 bytecodes; a stage whose generated code is
+    # longer runs faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -19,7 +19,7 @@ from remitlens.operators.modifiers import explode_modifiers
 from remitlens.operators.spine import calendar_from_bounds, date_spine, number_spine
 from remitlens.plans import adjudicate as adj
 from remitlens.plans import analysis, cleanse, health, quality, report, warehouse, whatif
-from remitlens.schemas import columns
+from remitlens.schemas import SCHEMAS, columns
 from remitlens.session import materialise
 from remitlens.sources.reference import PCT_PREFIX
 from samplemap.tables import AS_OF, FILES, Sample
@@ -30,7 +30,7 @@ CATCH_UP_DAY = dt.date(2001, 8, 6)
 BACKFILL = ("1995-01-01", "2001-08-31")
 DAY_ZERO = "1995-01-01"
 
-SOURCES = {"claims", "members", "providers", "config", "rules", "benefits", "fees", "auths",
+SOURCES = {"claims", "members", "providers", "config", "config_in_use", "rules", "benefits", "fees", "auths",
            "staging", "partition_log"}
 FACT_COLUMNS = [c for c in columns("fact_claim_denial_daily") if c != "partition_loaded_utc"]
 LOG_COLUMNS = ["partition_date", "rows_written", "source_rows_read", "rejected_rows",
@@ -90,13 +90,16 @@ class Run:
     def health(self) -> DataFrame:
         return health.pipeline_health(self.claims, self.partition_log)
 
+    @cached_property
+    def landed(self) -> DataFrame:
+        """Staging rows as a stored table, for queries that read them several times."""
+        return materialise(self.staging)
+
     def labelled(self, file: str) -> DataFrame:
-        rows = cleanse.normalize(self.staging.filter(F.col("source_file_name") == file))
+        rows = cleanse.normalize(self.landed.filter(F.col("source_file_name") == file))
         return cleanse.label_rows(rows, self.members, self.providers, AS_OF)
 
     def empty(self, table: str) -> DataFrame:
-        from remitlens.schemas import SCHEMAS
-
         return self.spark.createDataFrame([], SCHEMAS[table])
 
     def good(self, file: str) -> DataFrame:
@@ -109,7 +112,7 @@ class Run:
         )
         for file in FILES:
             result = cleanse.cleanse_and_load(
-                self.staging, result.claims, self.members, self.providers, result.rejects,
+                self.landed, result.claims, self.members, self.providers, result.rejects,
                 result.modifiers, file, AS_OF,
             )
         return result
@@ -189,7 +192,7 @@ def parse_currency_column(r: Run) -> DataFrame:
 
 @query
 def dedupe_latest_rows(r: Run) -> DataFrame:
-    rows = cleanse.normalize(r.staging.filter(F.col("source_file_name") == FILES[0]))
+    rows = cleanse.normalize(r.landed.filter(F.col("source_file_name") == FILES[0]))
     return dedupe_latest(rows, "claim_id", "raw_row_num").select("claim_id", "raw_row_num")
 
 
@@ -237,7 +240,7 @@ def cleanse_modifiers(r: Run) -> DataFrame:
 
 @query
 def config_reference(r: Run) -> DataFrame:
-    return r.config.select("config_key", "config_path", "config_scope", "loaded_value",
+    return r.config_in_use.select("config_key", "config_path", "config_scope", "loaded_value",
                            "standard_value", "standard_source")
 
 
@@ -469,7 +472,7 @@ def health_gate_detail(r: Run) -> DataFrame:
 
 @query
 def config_register(r: Run) -> DataFrame:
-    return analysis.config_register(r.config, r.rules)
+    return analysis.config_register(r.config_in_use, r.rules)
 
 
 @query
@@ -609,7 +612,7 @@ def kpi_measures_by_lob(r: Run) -> DataFrame:
 
 @query
 def config_status(r: Run) -> DataFrame:
-    return report.config_status(r.config)
+    return report.config_status(r.config_in_use)
 
 
 @query

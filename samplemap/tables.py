@@ -8,6 +8,7 @@ from __future__ import annotations
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from remitlens.schemas import columns
 from remitlens.sources.reference import (
@@ -16,6 +17,7 @@ from remitlens.sources.reference import (
     base_config,
     benefit_categories,
     full_rate_config,
+    literal_rows,
     table_rows,
 )
 
@@ -25,6 +27,7 @@ PROVIDER_TYPES = [
     "Physician", "Hospital-Based", "Ancillary", "Facility", "LTSS",
     "DME", "Transportation", "BehavioralHealth", "Pharmacy", "Dental",
 ]
+FULL_RATE = [*FULL_RATE_TYPES, "Pharmacy"]
 FILES = ["claims_a", "claims_b"]
 AS_OF = "2026-01-01"
 
@@ -48,8 +51,6 @@ def provider_type(suppkey: str) -> str:
 CENTS = "cast({0} as decimal(12,2))"
 CLAIM_VALUES = {
     "claim_id": padded("CLM-", "n", 9),
-    "member_id": padded("M6", "o_custkey", 7),
-    "provider_id": padded("P8", "suppkey", 5),
     "procedure_code": f"concat('C', lpad(cast(suppkey % 10 * 3 + {h('n', 113, 3)} as string), 3, '0'))",
     "units": f"cast(if(suppkey % 10 = 4, 8 + {h('n', 127, 33)}, 1) as smallint)",
     "service_from_date": f"date_add(order_day, cast({h('n', 107, 4)} as int))",
@@ -101,11 +102,21 @@ class Sample:
 
     @cached_property
     def config(self) -> DataFrame:
-        """The listed keys plus one full-rate key per provider type in use; Dental has none."""
-        full_rate = ", ".join(f"'{t}'" for t in [*FULL_RATE_TYPES, "Pharmacy"])
+        """The listed keys plus one full-rate key for every other type but Dental."""
+        listed = base_config(self.spark)
+        types = literal_rows(
+            self.spark, listed.select(F.lit("").alias("provider_type")).schema,
+            [(t,) for t in FULL_RATE],
+        )
+        return listed.unionByName(full_rate_config(types))
+
+    @cached_property
+    def config_in_use(self) -> DataFrame:
+        """The same register, with the full-rate keys of the types the providers have."""
+        names = ", ".join(f"'{t}'" for t in FULL_RATE)
         types = (
             self.raw("supplier").selectExpr(f"{provider_type('s_suppkey')} as provider_type")
-            .filter(f"provider_type in ({full_rate})")
+            .filter(f"provider_type in ({names})")
             .distinct()
         )
         return base_config(self.spark).unionByName(full_rate_config(types))
@@ -135,12 +146,21 @@ class Sample:
     def _orders(self) -> DataFrame:
         """Order with its provider and all columns that do not depend on the line."""
         provider = h("o_orderkey", 103, "(SELECT count(*) FROM {suppliers})")
-        return self.spark.sql(
+        orders = self.spark.sql(
             f"SELECT o_orderkey AS l_orderkey, o_custkey, to_date(o_orderdate) AS order_day, "
             f"{provider} AS suppkey FROM {{orders}}",
             orders=self.raw("orders"),
             suppliers=self.raw("supplier"),
         )
+        return orders.selectExpr(
+            "*",
+            f"{padded('M6', 'o_custkey', 7)} as member_id",
+            f"{padded('P8', 'suppkey', 5)} as provider_id",
+        )
+
+    @cached_property
+    def _lobs(self) -> DataFrame:
+        return self.raw("customer").selectExpr("c_custkey as o_custkey", "c_mktsegment as lob")
 
     def _claim_lines(self, lines: DataFrame) -> DataFrame:
         """Derive the clean values of claim lines (l_orderkey, l_linenumber)."""
@@ -149,16 +169,12 @@ class Sample:
             lines.selectExpr("*", "l_orderkey * 8 + l_linenumber as n")
             .join(self._orders, "l_orderkey")
             .selectExpr(
-                "l_orderkey", "l_linenumber", "n", "o_custkey", "suppkey", *carried,
-                *[f"{value} as {name}" for name, value in CLAIM_VALUES.items()],
+                "l_orderkey", "l_linenumber", "n", "o_custkey", "suppkey", "member_id", "provider_id",
+                *carried, *[f"{value} as {name}" for name, value in CLAIM_VALUES.items()],
             )
             .selectExpr("*", f"date_add(service_from_date, {LAG_DAYS}) as received_date")
         )
 
-    @cached_property
-    def _lobs(self) -> DataFrame:
-        return self.raw("customer").selectExpr("c_custkey as o_custkey", "c_mktsegment as lob")
-
     @cached_property
     def claims(self) -> DataFrame:
         """One PENDING claim per (order, line); repeated lines keep the highest price."""
@@ -224,6 +240,10 @@ class Sample:
             "n * 16777216 + v as raw_row_num",
             # Decides what is wrong with the row.
             "l_orderkey * 7 + l_linenumber * 13 + v as z",
+            "cast(service_from_date as string) as service_text",
+            "cast(received_date as string) as received_text",
+            "cast(date_sub(service_from_date, 1) as string) as day_before",
+            "cast(date_sub(service_from_date, 3) as string) as three_before",
         )
         return rows.selectExpr(*[f"{text} as {name}" for name, text in _dirt().items()]).select(
             *columns("claim_import")
@@ -262,16 +282,17 @@ def _dirt() -> dict[str, str]:
     """The text a partner file would hold in place of each clean value, with its errors."""
 
     def dated(day: str) -> str:
+        """``day`` is an ISO text; one of three layouts of it."""
         return (
-            f"case z % 3 when 0 then date_format({day}, 'yyyy-MM-dd') "
-            f"when 1 then date_format({day}, 'MM/dd/yyyy') else date_format({day}, 'yyyyMMdd') end"
+            f"case z % 3 when 0 then {day} when 1 then concat_ws('/', substr({day}, 6, 2), "
+            f"substr({day}, 9, 2), substr({day}, 1, 4)) else replace({day}, '-', '') end"
         )
 
     def spoilt(clean: str, *errors: tuple[int, str]) -> str:
         cases = " ".join(f"when z % {k} = 0 then {text}" for k, text in errors)
         return f"case {cases} else {clean} end"
 
-    service, received = dated("service_from_date"), dated("received_date")
+    service, received = dated("service_text"), dated("received_text")
     return {
         "raw_row_num": "raw_row_num",
         "claim_id": spoilt("claim_id", (997, "null"), (5, "concat('  ', lower(claim_id), ' ')")),
@@ -284,11 +305,11 @@ def _dirt() -> dict[str, str]:
         "units": spoilt("concat(' ', cast(units as string), ' ')", (257, "'0'"), (263, "'x'")),
         "service_from_raw": spoilt(service, (211, "'2026-13-45'"), (251, "'2099-01-01'")),
         "service_thru_raw": spoilt(
-            service, (223, "''"), (227, dated("date_sub(service_from_date, 1)")),
+            service, (223, "''"), (227, dated("day_before")),
             (251, "'2099-01-01'"),
         ),
         "received_raw": spoilt(
-            received, (229, "'n/a'"), (233, dated("date_sub(service_from_date, 3)")),
+            received, (229, "'n/a'"), (233, dated("three_before")),
             (251, "'2099-02-01'"),
         ),
         "billed_raw": spoilt(

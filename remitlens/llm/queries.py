@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import bpe
+from remitlens.llm import bpe, packing
 
 
 def word_vocabulary() -> str:
@@ -20,8 +20,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op6_packing": op6_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import bpe, packing
+from remitlens.llm import bpe, packing, repetition
 
 
 def word_vocabulary() -> str:
@@ -20,12 +20,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judged(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_repetition": op2_repetition,
     "op6_packing": op6_packing,
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import bpe, packing, repetition
+from remitlens.llm import bpe, language, packing, repetition
 
 
 def word_vocabulary() -> str:
@@ -28,10 +28,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
     "op6_packing": op6_packing,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, language, packing, repetition
+from remitlens.llm import bpe, language, lines, packing, repetition
 
 
 def word_vocabulary() -> str:
@@ -24,6 +25,11 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
@@ -35,8 +41,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
+    "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_lines": lines.SQL,
+}

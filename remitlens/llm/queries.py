@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, language, lines, packing, repetition
+from remitlens.llm import bpe, language, lines, packing, repetition, sharding, urls
+from remitlens.llm.support import scratch
 
 
 def word_vocabulary() -> str:
@@ -34,6 +35,28 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+#: Fixed values of the contract: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    written = sharding.sharded(docs, scratch(spark, "shards"), 8)
+    return written.select(
+        "doc_id",
+        sharding.size_of(F.col("text")).alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -43,9 +66,12 @@ QUERIES = {
     "op2_repetition": op2_repetition,
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
+    "op8_urls": op8_urls,
+    "op9_shuffle": op9_shuffle,
     "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_lines": lines.SQL,
+    "op8_urls": urls.SQL,
 }

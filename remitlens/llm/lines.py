@@ -102,8 +102,9 @@ def drop_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with n_lines (before), n_dropped, and the kept lines joined as ``kept_text``.
 
-    The names ``runs`` and ``text_hash`` of the bitmaps never meet columns of ``docs``: the helpers are prefixed.
+    Columns of ``docs`` with one of these names are replaced.
     """
+    docs = docs.drop("n_lines", "n_dropped", "kept_text", "_m_doc", "_m_hash", "_m_runs", "_m_lines")
     maps = bitmaps.select(F.col("doc_id").alias("_m_doc"), F.col("text_hash").alias("_m_hash"), F.col("runs").alias("_m_runs"))
     found = docs.join(maps, (docs["doc_id"] == F.col("_m_doc")) & (text_hash(docs["text"]) == F.col("_m_hash")), "left")
     found = found.withColumn("_m_lines", lines_of(docs["text"]))

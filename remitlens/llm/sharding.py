@@ -18,12 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from remitlens.llm.support import ship
 
 #: Bytes of text in a bucket; at 100 TB take 256 MB, so that the buckets stay under half a million.
 BUCKET_BYTES = 8 << 20
 SEED = 7
+#: Columns that are made here; an input's columns of these names are replaced.
+OWN = ("slot", "shard", "_bucket", "_place")
 
 
 def size_of(text):
@@ -51,6 +54,7 @@ def sharded(docs: DataFrame, path: str, shards: int, seed: int = SEED, bucket_by
     """
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.drop(*OWN)
     total = docs.select(size_of(F.col("text")).alias("size")).agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     dealt = scattered(docs, buckets, seed)
@@ -90,7 +94,7 @@ def sharded(docs: DataFrame, path: str, shards: int, seed: int = SEED, bucket_by
         if held:
             yield from emit()
 
-    schema = docs.schema.add("slot", "long").add("shard", "int")
+    schema = StructType([*docs.schema.fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
     ranged = dealt.repartitionByRange(buckets, "_bucket").sortWithinPartitions("_bucket", "_place").drop("_place")
     ranged.mapInArrow(run, schema).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return spark.read.schema(schema).parquet(path)

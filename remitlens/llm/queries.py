@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, language, lines, packing, repetition, sharding, urls
+from remitlens.llm import bpe, language, lines, packing, repetition, sharding, spots, urls
 from remitlens.llm.support import scratch
 
 
@@ -26,6 +26,10 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(table(spark, sf_dir, "documents"))
 
 
+def op4_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
@@ -64,6 +68,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
+    "op4_spots": op4_spots,
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op8_urls": op8_urls,

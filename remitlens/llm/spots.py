@@ -1,9 +1,9 @@
 """Document fingerprints from spot signatures, on DataFrame functions only.
 
 A common word (an anchor) starts a spot: the chain of the next two words that are no common words.  The distinct chains of a text
-are its signature set, kept as sorted hashes; spots lie where natural language is, so lists of links or numbers add little.  A
-text with fewer than ``LEAST_SPOTS`` distinct spots, or fewer than one for ``SPARSE`` words, also takes each pair of neighbouring words, and one without any of these its
-whole self.  Two texts are as alike as the Jaccard similarity of their sets.
+are its signature set, kept as sorted hashes.  Where ``BARREN`` words follow each other without an anchor (lists, tables, repeated words), each pair of words that starts
+such a stretch is a spot too.  A text with fewer than ``LEAST_SPOTS`` distinct spots also takes all its pairs of neighbouring words, and
+one without any of these its whole self.  Two texts are as alike as the Jaccard similarity of their sets.
 
 ``similar_pairs`` compares the distinct sets of a table: they are partitioned by length so that a similar pair lies in the same or the
 next partition, of each set only the rarest hashes of which a partner must share one are looked up, and a pair is compared only if
@@ -21,25 +21,25 @@ from pyspark.sql import functions as F
 #: Common words that start a spot.
 ANCHORS = ["a", "an", "and", "at", "by", "das", "de", "del", "den", "der", "des", "die", "el", "en", "et", "in", "is", "la", "las", "le", "les", "los", "of", "on", "que", "that", "the", "to", "un", "una", "und", "une", "von", "was", "with", "y", "zu"]
 LEAST_SPOTS = 8
-SPARSE = 25
+BARREN = 6
 #: Common words skipped before each word of a chain at most; a bound keeps the pattern's stack small.
 SKIPPED = 4
 
 _ANY = "(?:" + "|".join(ANCHORS) + ")"
 _WORD = f"(?: {_ANY}(?= )){{0,{SKIPPED}}}+ (?!{_ANY} )[^ ]+"
 SPOT = f"(?<= ){_ANY}(?= )(?=({_WORD}{_WORD}))"
+_PLAIN = f"(?!{_ANY} )[^ ]+ "
+STRETCH = f"(?<= )(?=({_PLAIN}{_PLAIN})(?:{_PLAIN}){{{BARREN - 2}}})"
 PAIR = "(?<= )(?=([^ ]+ [^ ]+))"
 
 
 def signatures(text: Column) -> Column:
     """The sorted distinct 32-bit hashes of a text's spots."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
-    spots = F.array_distinct(F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1)))
-    # A pair of words starts with its first word, a spot with a space, so they never meet.
+    spots = F.array_distinct(F.concat(F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1)), F.regexp_extract_all(plain, F.lit(STRETCH), F.lit(1))))
+    # A chain starts with a space and the pair of a stretch ends with one, so they never meet other pairs.
     more = F.array_distinct(F.concat(spots, F.regexp_extract_all(plain, F.lit(PAIR), F.lit(1))))
-    words = F.char_length(plain) - F.char_length(F.replace(plain, F.lit(" "), F.lit(""))) - 1
-    least = F.greatest(F.lit(LEAST_SPOTS), words / SPARSE)
-    chosen = F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).when(F.size(spots) >= least, spots).when(F.size(more) > 0, more).otherwise(F.array(text))
+    chosen = F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).when(F.size(spots) >= LEAST_SPOTS, spots).when(F.size(more) > 0, more).otherwise(F.array(text))
     return F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)))))
 
 

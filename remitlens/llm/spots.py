@@ -25,22 +25,31 @@ BARREN = 6
 #: Common words skipped before each word of a chain at most; a bound keeps the pattern's stack small.
 SKIPPED = 4
 
-_ANY = "(?:" + "|".join(ANCHORS) + ")"
-_WORD = f"(?: {_ANY}(?= )){{0,{SKIPPED}}}+ (?!{_ANY} )[^ ]+"
-SPOT = f"(?<= ){_ANY}(?= )(?=({_WORD}{_WORD}))"
-_PLAIN = f"(?!{_ANY} )[^ ]+ "
-STRETCH = f"(?<= )(?=({_PLAIN}{_PLAIN})(?:{_PLAIN}){{{BARREN - 2}}})"
+_BY_LETTER = {c: [w[1:] for w in ANCHORS if w[0] == c] for c in sorted({w[0] for w in ANCHORS})}
+ANCHOR = "(?<= )(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in _BY_LETTER.items()) + ")(?= )"
+#: Stands for a common word once they are marked; other words have letters and digits only.
+MARK = "_"
+_WORD = f"[^ {MARK}][^ ]*"
+_NEXT = f"(?: {MARK}){{0,{SKIPPED}}}+ {_WORD}"
+SPOT = f"(?<= ){MARK}(?=({_NEXT}{_NEXT}))"
+STRETCH = f"(?<= )(?=({_WORD} {_WORD} )(?:{_WORD} ){{{BARREN - 2}}})"
 PAIR = "(?<= )(?=([^ ]+ [^ ]+))"
 
 
-def signatures(text: Column) -> Column:
-    """The sorted distinct 32-bit hashes of a text's spots."""
+def with_signatures(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sorted distinct 32-bit hashes of the spots of column ``text``.
+
+    Each step is a column of its own, so that no pattern is run twice.
+    """
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
-    spots = F.array_distinct(F.concat(F.regexp_extract_all(plain, F.lit(SPOT), F.lit(1)), F.regexp_extract_all(plain, F.lit(STRETCH), F.lit(1))))
+    found = lambda pattern: F.regexp_extract_all(F.col("_plain"), F.lit(pattern), F.lit(1))
+    df = df.withColumn("_plain", F.regexp_replace(plain, ANCHOR, MARK)).withColumn("_spots", F.array_distinct(F.concat(found(SPOT), found(STRETCH))))
     # A chain starts with a space and the pair of a stretch ends with one, so they never meet other pairs.
-    more = F.array_distinct(F.concat(spots, F.regexp_extract_all(plain, F.lit(PAIR), F.lit(1))))
-    chosen = F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).when(F.size(spots) >= LEAST_SPOTS, spots).when(F.size(more) > 0, more).otherwise(F.array(text))
-    return F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)))))
+    few = F.size("_spots") < LEAST_SPOTS
+    df = df.withColumn("_spots", F.when(few, F.array_distinct(F.concat(F.col("_spots"), found(PAIR)))).otherwise(F.col("_spots")))
+    nothing = F.coalesce(F.length(text), F.lit(0)) == 0
+    chosen = F.when(nothing, F.array().cast("array<string>")).when(F.size("_spots") > 0, F.col("_spots")).otherwise(F.array(text))
+    return df.withColumn(name, F.array_sort(F.array_distinct(F.transform(chosen, lambda x: F.xxhash64(x).bitwiseAND(F.lit(0xFFFFFFFF)))))).drop("_plain", "_spots")
 
 
 def fingerprint(found: Column) -> Column:
@@ -57,7 +66,7 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, the signature set ``spots`` and ``fingerprint``."""
-    return docs.select("doc_id", signatures(F.col("text")).alias("spots")).select("doc_id", "spots", fingerprint(F.col("spots")).alias("fingerprint"))
+    return with_signatures(docs.select("doc_id", "text"), "text", "spots").select("doc_id", "spots", fingerprint(F.col("spots")).alias("fingerprint"))
 
 
 def _count_below(borders: list[int], value: Column, equal: bool) -> Column:
@@ -93,7 +102,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     goes_to = firsts.select("tile", F.col("top.id").alias("id"), F.col("top.hash").alias("hash"), F.coalesce(F.lead("tile").over(Window.orderBy("tile")), F.min("tile").over(everything)).alias("to"))
     copies = rows.join(F.broadcast(goes_to), ["tile", "id", "hash"]).dropDuplicates(["tile"])
     both = rows.withColumn("copy", F.lit(False)).unionByName(copies.drop("tile").withColumnRenamed("to", "tile").withColumn("copy", F.lit(True)))
-    dealt = both.repartition(parts, "tile").withColumn("spots", signatures(F.col("text")))
+    dealt = with_signatures(both.repartition(parts, "tile"), "text", "spots")
     order = Window.partitionBy("tile").orderBy("copy", F.col("id").desc(), F.col("hash").desc())
     seen = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_spots", F.lead("spots").over(order))
     return seen.where(~F.col("copy")).select("doc_id", "text", "spots", "next_text", "next_spots")
@@ -103,7 +112,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     """Each document beside its edited text (second half taken from the next document) and the next document."""
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_next(docs).withColumn("edited", edited).withColumn("edited_spots", signatures(F.col("edited")))
+    rows = with_signatures(with_next(docs).withColumn("edited", edited), "edited", "edited_spots")
     return rows.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),

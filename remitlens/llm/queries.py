@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, language, lines, packing, repetition, sharding, spots, urls
+from remitlens.llm import bpe, language, lines, packing, repetition, sharding, spots, urls, warc
 from remitlens.llm.support import scratch
 
 
@@ -39,6 +39,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"), scratch(spark, "warc-raw"), scratch(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 #: Fixed values of the contract: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op4_spots": op4_spots,
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
+    "op7_warc": op7_warc,
     "op8_urls": op8_urls,
     "op9_shuffle": op9_shuffle,
     "op10_language": op10_language,
@@ -78,5 +84,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_lines": lines.SQL,
+    "op7_warc": warc.SQL,
     "op8_urls": urls.SQL,
 }

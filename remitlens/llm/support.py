@@ -42,6 +42,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote to the shared folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, language, lines, packing, repetition, sharding, spots, urls, warc
+from remitlens.llm import bpe, chosenpath, language, lines, packing, repetition, sharding, spots, urls, warc
 from remitlens.llm.support import scratch
 
 
@@ -26,6 +26,10 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(table(spark, sf_dir, "documents"))
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op4_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.edited_likeness(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
+    "op3_chosen_path": op3_chosen_path,
     "op4_spots": op4_spots,
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from remitlens.llm.bpe import LETTER, point_classes
 from remitlens.llm.support import ship, slices
@@ -33,8 +34,6 @@ SCALE = 1 << 20
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 
-PREDICTED = "doc_id long, lang_pred string, score double"
-
 
 class Profiles:
     """Turns texts into vectors; n-gram vectors are made when first seen."""
@@ -149,17 +148,21 @@ def learn(labelled: DataFrame, dimensions: int = DIMENSIONS, gram: int = GRAM) -
     return {k: unit(out[k][None])[0] for k in sorted(out)}
 
 
-def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = DIMENSIONS, gram: int = GRAM) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): the language and its cosine, between 0 and 1."""
+def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = DIMENSIONS, gram: int = GRAM, carry=("doc_id",), prefix: str = "") -> DataFrame:
+    """Per row of ``docs`` (text): the language ``lang_pred`` and its cosine ``score``, between 0 and 1.
+
+    The columns ``carry`` go along; ``prefix`` keeps the new names apart from theirs.
+    """
     ship(docs.sparkSession)
-    names = [*learned]
+    carry, names = [*carry], [*learned]
     languages = np.array([learned[k] for k in names], np.float32).reshape(len(names), dimensions)
 
     def run(batches):
         made = profiles(dimensions, gram)
         for batch in batches:
-            for first, end in slices(batch.column(1)):
-                vectors, counts = made.vectors_of(batch.column(1).slice(first, end - first).to_pylist())
+            for first, end in slices(batch.column(0)):
+                part = batch.slice(first, end - first)
+                vectors, counts = made.vectors_of(part.column(0).to_pylist())
                 if names:
                     cosines = unit(vectors) @ languages.T
                     best = cosines.argmax(1)
@@ -168,9 +171,10 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = D
                     score[counts == 0] = 0
                 else:
                     lang, score = [UNKNOWN] * len(counts), np.zeros(len(counts))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score)], [*carry, prefix + "lang_pred", prefix + "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, PREDICTED)
+    schema = StructType([*docs.select(*carry).schema.fields, StructField(prefix + "lang_pred", StringType()), StructField(prefix + "score", DoubleType())])
+    return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(run, schema)
 
 
 def is_held_out(doc_id):
@@ -183,3 +187,12 @@ def identify(docs: DataFrame) -> DataFrame:
     learned = learn(docs.where(~is_held_out(F.col("doc_id"))))
     found = predict(docs, learned)
     return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def in_known_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang) whose language is known, with the columns they have.
+
+    A text without letters is rejected.  A weak cosine alone is no reason: short clean texts have it too.
+    """
+    learned = learn(docs.where(~is_held_out(F.col("doc_id"))))
+    return predict(docs, learned, carry=docs.columns, prefix="_l_").where(F.col("_l_lang_pred") != UNKNOWN).select(*docs.columns)

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from remitlens.llm.support import Hasher, mix, ship, slices, text_bytes, word_spans
 
@@ -106,26 +107,38 @@ def measure(texts: pa.Array, lengths) -> dict[str, np.ndarray]:
     return out
 
 
-def repetition(docs: DataFrame, lengths=tuple(LIMITS)) -> DataFrame:
-    """Counts per row of ``docs`` (doc_id, text): words, symbols, repeated lines, characters in repeated windows."""
+def repetition(docs: DataFrame, lengths=tuple(LIMITS), carry=("doc_id",), prefix: str = "") -> DataFrame:
+    """Counts per row of ``docs`` (text): words, symbols, repeated lines, characters in repeated windows.
+
+    The columns ``carry`` go along; ``prefix`` keeps the counts' names apart from theirs.
+    """
     ship(docs.sparkSession)
+    carry = [*carry]
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "dup_line_chars", "n_repeat_words", *(f"dup_{n}gram_chars" for n in lengths)]
 
     def run(batches):
         for batch in batches:
-            for first, end in slices(batch.column(1)):
-                found = measure(batch.column(1).slice(first, end - first), lengths)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), *(pa.array(found[k], pa.int64()) for k in names)], ["doc_id", *names])
+            for first, end in slices(batch.column(0)):
+                part = batch.slice(first, end - first)
+                found = measure(part.column(0), lengths)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(found[k], pa.int64()) for k in names)], [*carry, *(prefix + k for k in names)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join(["doc_id long", *(f"{k} long" for k in names)]))
+    schema = StructType([*docs.select(*carry).schema.fields, *(StructField(prefix + k, LongType()) for k in names)])
+    return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(run, schema)
 
 
-def judged(docs: DataFrame, limits: dict[int, float] | None = None, line_chars: float = LINE_CHARS, symbol_rate: float = SYMBOL_RATE) -> DataFrame:
+def judged(docs: DataFrame, limits: dict[int, float] | None = None, line_chars: float = LINE_CHARS, symbol_rate: float = SYMBOL_RATE, carry=("doc_id",), prefix: str = "") -> DataFrame:
     """The counts of ``repetition`` with ``base_failed`` and ``kept``."""
     limits = LIMITS if limits is None else limits
-    counts = repetition(docs, tuple(limits))
-    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    good = (F.col("dup_line_chars") <= line_chars * F.col("word_chars")) & (F.col("n_symbols") <= symbol_rate * F.col("n_words"))
+    c = lambda name: F.col(prefix + name)
+    base = (c("n_words") < LEAST_WORDS) | (100 * c("n_repeat_words") > MOST_REPEATED * c("n_words"))
+    good = (c("dup_line_chars") <= line_chars * c("word_chars")) & (c("n_symbols") <= symbol_rate * c("n_words"))
     for n, limit in limits.items():
-        good &= F.col(f"dup_{n}gram_chars") <= limit * F.col("word_chars")
-    return counts.withColumn("base_failed", base).withColumn("kept", ~base & good)
+        good &= c(f"dup_{n}gram_chars") <= limit * c("word_chars")
+    counts = repetition(docs, tuple(limits), carry, prefix)
+    return counts.withColumn(prefix + "base_failed", base).withColumn(prefix + "kept", ~base & good)
+
+
+def of_good_quality(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with the columns they have."""
+    return judged(docs, carry=docs.columns, prefix="_q_").where("_q_kept").select(*docs.columns)

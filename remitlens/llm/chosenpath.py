@@ -8,10 +8,11 @@ independent trees are branched to a depth that makes nodes of unrelated sets sma
 a chance of about 0.4, all of them with about one in ten million.
 
 A node is worked in two steps, so that a group of near copies never yields all its pairs.  First every class is compared with the
-smallest class of each of its nodes; the links found make components.  Then only nodes that still hold several components matter:
+smallest class of each of its nodes, the smallest of these first and the others if that left them apart; the links found make components.  Then only nodes that still hold several components matter:
 the classes outside the node's largest component are compared with all classes of other components there, exhaustively while that is
-a bounded number for each class of the node, and after more branching otherwise.  Comparisons are screened by set sizes and 64-bit sketches
-(a pair at the threshold fails with a chance under one in a hundred thousand) and every link is confirmed on the full sets.
+a bounded number for each class of the node, and after more branching otherwise.  Comparisons are screened by set sizes, by 128-bit sketches
+and by the share of equal tokens (a pair at the threshold fails with a chance of about one in twenty thousand), and every link is
+confirmed on the full sets.
 
 Components come from repeated contraction: every component takes the smallest of its neighbours, chains are shortened, and links are
 renamed until none is left.  All steps are joins and aggregations written to the shared folder once.
@@ -32,9 +33,10 @@ from remitlens.llm.support import LOWER_ASCII, Hasher, mix, saved, ship, slices,
 
 TOKENS = 128
 TREES = 16
-SKETCH = 64
-#: Sketch bits that may differ: 0.1 of 64 are expected at a similarity of 0.8, the rest is about five deviations.
-SKETCH_OFF = 19
+#: Bits of two sketches that may differ: 0.1 of 128 are expected at a similarity of 0.8, the rest is over four deviations.
+SKETCH_OFF = 28
+#: Deviations that the share of equal tokens may lie under the threshold.
+DEVIATIONS = 4.2
 #: Unrelated sets share a token with about this chance; it sets the first depth.
 UNRELATED = 0.05
 #: Comparisons for each class of a node that are made at once.
@@ -113,18 +115,18 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 n = np.diff(begins)
                 k1, k2 = set_keys(sets, begins)
                 full = n > 0
-                sketches, tokens = np.zeros(len(n), np.int64), [None] * len(n)
+                sketches, tokens = np.zeros((len(n), 2), np.int64), [None] * len(n)
                 if full.any():
                     found = tokens_of(sets, np.concatenate([begins[:-1][full], begins[-1:]]))
-                    sketches[full] = np.packbits((found[:, :SKETCH] & 1).astype(np.uint8), axis=1).view(np.int64)[:, 0]
+                    sketches[full] = np.packbits((found & 1).astype(np.uint8), axis=1).view(np.int64)
                     for at, row in zip(np.flatnonzero(full).tolist(), found, strict=True):
                         tokens[at] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2), pa.array(sketches), pa.array(tokens, pa.binary())],
-                    ["doc_id", "n_shingles", "k1", "k2", "sketch", "tokens"],
+                    [batch.column(0).slice(first, end - first), pa.array(n, pa.int64()), pa.array(k1), pa.array(k2), pa.array(sketches[:, 0]), pa.array(sketches[:, 1]), pa.array(tokens, pa.binary())],
+                    ["doc_id", "n_shingles", "k1", "k2", "sketch", "sketch2", "tokens"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sketch long, tokens binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sketch long, sketch2 long, tokens binary")
 
 
 def _children(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -141,31 +143,32 @@ def _children(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray, threshold
 def branched(rows: DataFrame, levels: int, threshold: float, start: bool) -> DataFrame:
     """Nodes of classes after ``levels`` more levels: from the roots of all trees, or from the ``node`` of each row."""
     ship(rows.sparkSession)
-    keep = ["cid", "n", "sketch"]
+    keep = ["cid", "n", "sketch", "sketch2"]
 
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                tokens = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint32).reshape(-1, TOKENS)
+                tokens = np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint32).reshape(-1, TOKENS)
                 owner = np.arange(len(part))
                 if start:
                     owner = np.repeat(owner, TREES)
                     node = np.tile(mix(np.arange(1, TREES + 1, dtype=np.uint64)), len(part))
                 else:
-                    node = part.column(4).to_numpy().view(np.uint64)
+                    node = part.column(5).to_numpy().view(np.uint64)
                 for _ in range(levels):
                     node, owner = _children(node, owner, tokens.astype(np.uint64), threshold)
                 index = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(part.column(k).take(index) for k in range(3))], ["node", *keep])
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(part.column(k).take(index) for k in range(4))], ["node", *keep])
 
-    return rows.select(*keep, "tokens", *([] if start else ["node"])).mapInArrow(run, "node long, cid long, n long, sketch long")
+    return rows.select(*keep, "tokens", *([] if start else ["node"])).mapInArrow(run, "node long, cid long, n long, sketch long, sketch2 long")
 
 
 def _plausible(threshold: float):
     """Whether sizes and sketches of ``x`` and ``y`` leave the similarity possible."""
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return (small >= F.lit(threshold) * large) & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) <= SKETCH_OFF)
+    off = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("sketch", "sketch2")]
+    return (small >= F.lit(threshold) * large) & (off[0] + off[1] <= SKETCH_OFF)
 
 
 def _pairs(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
@@ -187,11 +190,25 @@ class Join:
         self.classes = saved(full.groupBy("k1", "k2").agg(F.min("rid").alias("cid"), F.min("doc_id").alias("rep")), "classes")
         self.members = full.select("doc_id", "rid", "k1", "k2").join(self.classes, ["k1", "k2"]).select("doc_id", "rid", "cid")
         tops = self.classes.select(F.col("cid").alias("rid"))
-        self.tops = saved(full.join(tops, "rid", "left_semi").select(F.col("rid").alias("cid"), F.col("n_shingles").alias("n"), "sketch", "tokens"), "tops")
+        self.tops = saved(full.join(tops, "rid", "left_semi").select(F.col("rid").alias("cid"), F.col("n_shingles").alias("n"), "sketch", "sketch2", "tokens"), "tops")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The ``pairs`` whose share of equal tokens is near the threshold or above."""
+        least = self.threshold - DEVIATIONS * (self.threshold * (1 - self.threshold) / TOKENS) ** 0.5
+
+        def compare(batches):
+            for batch in batches:
+                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, TOKENS) for c in batch.columns[2:])
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
+
+        tokens = lambda c: self.tops.select(F.col("cid").alias(c), F.col("tokens").alias(f"tokens_{c}"))
+        both = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "tokens_a", "tokens_b")
+        return both.mapInArrow(compare, "a long, b long")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among ``pairs`` (a, b), by their full sets."""
         words, percent = self.words, self.percent
+        pairs = saved(self.likely(pairs), "likely")
         wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct().join(self.classes, "cid")
         wanted = saved(wanted, "wanted")
 
@@ -235,13 +252,18 @@ class Join:
         shared = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("cid").alias("first")).where("size > 1")
         nodes = saved(nodes.join(shared, "node"), "nodes")
         own = nodes.withColumn("comp", F.col("cid"))
-        links = self.confirmed(_pairs(own, own.where("cid = first"), self.threshold))
+        # The smallest class of a node is ``a`` of its pairs.
+        stars = saved(_pairs(own, own.where("cid = first"), self.threshold), "stars")
+        links = self.confirmed(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
         # Rows of one doc_id in different classes belong together.
         twice = self.members.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b")
         if not twice.isEmpty():
             every = self.members.join(twice.select("doc_id", "a"), "doc_id").where("a < cid").select("a", F.col("cid").alias("b")).distinct()
             links = saved(links.unionByName(every), "links")
         labels = contracted(spark.createDataFrame([], "cid long, comp long"), links)
+        ends = [labels.select(F.col("cid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab"]
+        apart = stars.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
+        labels = contracted(labels, self.confirmed(saved(apart.select("a", "b"), "apart")))
         nodes = nodes.drop("size", "first")
         while depth < MOST_DEPTH:
             rows = self.labelled(nodes, labels)
@@ -250,8 +272,7 @@ class Join:
             rows = saved(rows.join(mixed.select("node", "size", "largest", "major"), "node"), "mixed")
             small = F.col("size") - F.col("largest") <= WIDTH
             minor = rows.where(small & (F.col("comp") != F.col("major")))
-            pairs = _pairs(minor, rows.where(small), self.threshold)
-            found = self.confirmed(saved(pairs, "pairs"))
+            found = self.confirmed(_pairs(minor, rows.where(small), self.threshold))
             labels = contracted(labels, found)
             large = rows.where(~small)
             if large.isEmpty():

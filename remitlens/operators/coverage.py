@@ -31,10 +31,12 @@ def coverage_blocks(auths: DataFrame, first_day: Column, last_day: Column) -> Da
     """One row per (member_id, provider_type, block) with the covered days as bits.
 
     Authorizations are clipped to ``first_day``..``last_day``, so an open-ended one
-    never unfolds past the claims it could cover.
+    never unfolds past the claims it could cover.  One without a first or last date
+    covers nothing, and without any claim there is nothing to cover.
     """
+    dated = F.col("auth_eff_date").isNotNull() & F.col("auth_thru_date").isNotNull()
     clipped = (
-        auths.filter(F.col("auth_status") == "APPROVED")
+        auths.filter((F.col("auth_status") == "APPROVED") & dated & first_day.isNotNull())
         .withColumn("lo", _day_number(F.greatest("auth_eff_date", first_day)))
         .withColumn("hi", _day_number(F.least("auth_thru_date", last_day)))
         .filter("lo <= hi")

@@ -1,8 +1,8 @@
 """Row numbers and ranks inside groups that may be very large.
 
-A window puts each group into one task.  That is fine up to a size; above it the rows
-are range-partitioned on (group, order), numbered inside each range, and shifted by the
-number of rows of the group in the ranges before.  Both ways give the same numbers.
+A window over a group would put it into one task.  The rows are range-partitioned on
+(group, order) instead, numbered inside each range, and shifted by the number of rows of
+the group in the ranges before.  Groups of every size take this way.
 """
 
 from __future__ import annotations
@@ -13,26 +13,12 @@ from pyspark.sql import functions as F
 
 from remitlens.session import materialise
 
-#: Largest group that is ranked in one task.
-SPLIT_ROWS = 1_000_000
 
+def number_within(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """``row_number`` (int) over a total order inside each group.
 
-def number_within(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    name: str,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
-    """``row_number`` over a total order inside each group.
-
-    ``df`` is written to the checkpoint folder first: its group sizes decide the plan.
+    The ranged rows are written to the checkpoint folder, so that a range keeps its number.
     """
-    df = materialise(df)
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= split_rows:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-
     by_group = [F.col(g) for g in group]
     ranged = materialise(
         df.repartitionByRange(*by_group, *order).withColumn("_range", F.spark_partition_id())
@@ -49,21 +35,13 @@ def number_within(
         [F.col(f"n.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group]
         + [F.col("n._range") == F.col("s._range")],
     )
-    return numbered.select(
-        *[f"n.{c}" for c in df.columns], (F.col("_local") + F.col("_shift")).alias(name)
-    )
+    position = (F.col("_local") + F.col("_shift")).cast("int")
+    return numbered.select(*[f"n.{c}" for c in df.columns], position.alias(name))
 
 
-def rank_within(
-    df: DataFrame,
-    group: str,
-    value: str,
-    tie_break: str,
-    name: str,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
-    """``rank`` by ``value`` descending inside each group; equal values share the lowest number."""
+def rank_within(df: DataFrame, group: str, value: str, tie_break: str, name: str) -> DataFrame:
+    """``rank`` (int) by ``value`` descending inside each group; equal values share the lowest number."""
     order = [F.col(value).desc(), F.col(tie_break)]
-    numbered = number_within(df, [group], order, "_position", split_rows)
+    numbered = number_within(df, [group], order, "_position")
     first = numbered.groupBy(group, value).agg(F.min("_position").alias(name))
     return numbered.drop("_position").join(first, [group, value])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from remitlens.operators.asof import asof_rate
 from remitlens.operators.coverage import flag_covered
-from remitlens.operators.ranking import SPLIT_ROWS, number_within
+from remitlens.operators.ranking import number_within
 from remitlens.schemas import RATE, columns
 from remitlens.sources.reference import PCT_PREFIX
 
@@ -52,7 +52,7 @@ def fail_column(rule_id: str) -> str:
 def config_pct(config: DataFrame) -> DataFrame:
     """Pricing percentages keyed by provider type."""
     return config.filter(F.col("config_key").startswith(PCT_PREFIX)).select(
-        F.substring("config_key", len(PCT_PREFIX) + 1, 64).alias("provider_type"),
+        F.substr("config_key", F.lit(len(PCT_PREFIX) + 1)).alias("provider_type"),
         F.col("loaded_value").alias("price_pct_loaded"),
         F.col("standard_value").alias("price_pct_standard"),
     )
@@ -93,13 +93,13 @@ def resubmitted_groups(claims: DataFrame) -> DataFrame:
     )
 
 
-def submission_seq(claims: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def submission_seq(claims: DataFrame) -> DataFrame:
     """(claim_id, submission key, submission_seq) of the claims that share their key."""
     repeated = claims.select("claim_id", *SUBMISSION_KEY).join(
         resubmitted_groups(claims).select(*SUBMISSION_KEY), SUBMISSION_KEY, "left_semi"
     )
     return number_within(
-        repeated, SUBMISSION_KEY, [F.col("claim_id")], "submission_seq", split_rows
+        repeated, SUBMISSION_KEY, [F.col("claim_id")], "submission_seq"
     )
 
 

@@ -86,9 +86,16 @@ def reject_reason(as_of: dt.date | str) -> Column:
 def label_rows(
     normalized: DataFrame, members: DataFrame, providers: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    """Decide the fate of every raw row of one file in a single pass."""
-    known_members = members.select("member_id", F.lit(True).alias("member_known"))
-    known_providers = providers.select("provider_id", F.lit(True).alias("provider_known"))
+    """Decide the fate of every raw row of one file in a single pass.
+
+    Keys of the masters are read as the raw ones are, and repeated ones count once.
+    """
+
+    def known(master: DataFrame, key: str, flag: str) -> DataFrame:
+        return master.select(clean_id(F.col(key)).alias(key)).distinct().withColumn(flag, F.lit(True))
+
+    known_members = known(members, "member_id", "member_known")
+    known_providers = known(providers, "provider_id", "provider_known")
     return (
         mark_latest(normalized, "claim_id", "raw_row_num")
         .join(known_members, "member_id", "left")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,9 @@ from remitlens.plans.warehouse import (
     with_denials,
 )
 from remitlens.session import materialise
-from remitlens.sources.store import ClaimStore
+from remitlens.sources.store import ClaimStore, dates_of, on_dates
+
+LOG = logging.getLogger(__name__)
 
 
 @dataclass
@@ -61,35 +65,40 @@ def run_adjudication(store: ClaimStore) -> None:
     store.replace("claim", result)
 
 
-def _load(store: ClaimStore, dates: DataFrame, started: dt.datetime) -> None:
-    scope = dates.select(F.col("partition_date").alias("service_from_date"))
-    # Only the partitions of the requested dates are read.
-    claims = with_denials(
-        store.read("claim").join(scope, "service_from_date", "left_semi"),
-        store.read("claim_denial"),
-    )
+def _load(store: ClaimStore, dates: DataFrame) -> None:
+    """Load ``dates`` (partition_date, one row per date) and log them.
+
+    The dates become literals, so that only their partitions are read; a semi-join
+    with another stored table would read them all.  The log row is made after the fact
+    is written, and so its load time holds the write.
+    """
+    started = dt.datetime.now(dt.timezone.utc)
+    days = dates_of(dates)
+    claims = with_denials(on_dates(store.read("claim"), "service_from_date", days), store.read("claim_denial"))
     fact = materialise(
         build_fact(
             claims, store.read("provider"), store.read("fee_schedule"),
             store.read("adjudication_rule"), store.read("plan_config"),
         )
     )
-    results = materialise(
-        load_results(dates, fact, claims, store.read("claim_reject"), started)
-    )
     store.replace_dates("fact_claim_denial_daily", fact, dates)
-    store.update_log(results)
+    rejects = on_dates(store.read("claim_reject"), "service_date", days)
+    store.update_log(materialise(load_results(dates, fact, claims, rejects, started)))
 
 
-def _load_one_by_one(store: ClaimStore, dates: DataFrame, started: dt.datetime) -> BackfillCount:
+def _load_one_by_one(store: ClaimStore, dates: DataFrame) -> BackfillCount:
     """One job per date: a failing date is logged and the others still load."""
     count = BackfillCount(0, 0)
-    for (day,) in dates.orderBy("partition_date").toLocalIterator():
+    for day in dates_of(dates):
         one = store.spark.range(1).select(F.lit(day).alias("partition_date"))
+        started = dt.datetime.now(dt.timezone.utc)
         try:
-            _load(store, one, started)
+            _load(store, one)
             count.loaded += 1
+        except AnalysisException:  # a missing table or column is no date's fault
+            raise
         except Exception as error:  # every failure belongs in the log
+            LOG.exception("load of %s failed", day)
             store.update_log(failed_result(one, started, str(error)))
             count.failed += 1
     return count
@@ -107,15 +116,16 @@ def backfill(
     All dates go through one job.  When that job fails, or with ``isolate``, each date gets
     its own, so that one bad date does not keep the others out.
     """
-    started = dt.datetime.now(dt.timezone.utc)
     dates = materialise(backfill_dates(store.read("partition_log"), start, end, reload))
     if not isolate:
         try:
-            _load(store, dates, started)
+            _load(store, dates)
             return BackfillCount(dates.count(), 0)
+        except AnalysisException:
+            raise
         except Exception:  # narrowed down to the failing dates below
-            pass
-    return _load_one_by_one(store, dates, started)
+            LOG.exception("load of %s to %s failed; loading date by date", start, end)
+    return _load_one_by_one(store, dates)
 
 
 def nightly(store: ClaimStore, as_of: dt.date, lookback: int = 7) -> BackfillCount:

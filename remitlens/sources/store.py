@@ -31,6 +31,19 @@ def read_staging(
     return rows if source_file is None else rows.filter(F.col("source_file_name") == source_file)
 
 
+def dates_of(dates: DataFrame) -> list:
+    """The distinct dates in the first column of ``dates``, ascending: one value per date."""
+    first = F.col(dates.columns[0])
+    return [row[0] for row in dates.select(first).filter(first.isNotNull()).distinct().orderBy(first).toLocalIterator()]
+
+
+def on_dates(df: DataFrame, column: str, days: list) -> DataFrame:
+    """The rows of ``df`` on the given dates, as a filter that prunes partitions."""
+    if not days:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(column).between(days[0], days[-1]) & F.col(column).isin(days))
+
+
 class ClaimStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -109,7 +122,7 @@ class ClaimStore:
         dates = materialise(
             left_dates.union(incoming.select("service_from_date")).distinct()
         )
-        touched = current.join(dates, "service_from_date", "left_semi")
+        touched = on_dates(current, "service_from_date", dates_of(dates))
         merged = materialise(merge_claims(touched.select(*columns("claim")), incoming))
         self.replace_dates("claim", merged, dates)
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from remitlens.operators.dedupe import dedupe_latest
 from remitlens.operators.merge import merge_claims
@@ -140,3 +141,10 @@ def test_a_rejected_resubmission_drops_the_modifiers(spark, nothing):
     second = load(spark, raw(spark, {"raw_row_num": 9, "billed_raw": "abc", "source_file_name": "f2"}),
                   first, "f2")
     assert second.claims.count() == 1 and second.modifiers.count() == 0
+
+
+def test_master_keys_are_read_like_raw_ones_and_count_once(spark):
+    known = members(spark).unionByName(members(spark).withColumn("member_id", F.lit(" m1 ")))
+    lower = providers(spark).withColumn("provider_id", F.lower("provider_id"))
+    df = label_rows(normalize(raw(spark, {})), known, lower, AS_OF)
+    assert [r[0] for r in rows(df, "reject_reason")] == [None]

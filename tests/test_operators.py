@@ -89,12 +89,11 @@ def test_coverage_matches_comparing_all_pairs(spark):
         assert flag == want, (member, kind, on)
 
 
-@pytest.mark.parametrize("split_rows", [10, 1_000_000])
-def test_numbers_in_a_hot_group_are_the_same_on_both_paths(spark, split_rows):
+def test_numbers_in_a_hot_group(spark):
     data = [("HOT" if i % 3 else f"G{i % 4}", f"C{i:05d}") for i in range(3000)]
     random.Random(1).shuffle(data)
     df = spark.createDataFrame(data, "g string, c string").repartition(4)
-    got = rows(number_within(df, ["g"], [F.col("c")], "n", split_rows), "g", "c", "n")
+    got = rows(number_within(df, ["g"], [F.col("c")], "n"), "g", "c", "n")
     want, seen = {}, {}
     for g, c in sorted(data):
         seen[g] = seen.get(g, 0) + 1
@@ -102,11 +101,27 @@ def test_numbers_in_a_hot_group_are_the_same_on_both_paths(spark, split_rows):
     assert {(g, c): n for g, c, n in got} == want
 
 
-@pytest.mark.parametrize("split_rows", [5, 1_000_000])
-def test_rank_keeps_ties(spark, split_rows):
+def test_numbers_have_one_type_for_groups_of_any_size(spark):
+    for n in (2, 5000):
+        df = spark.range(n).select(F.lit("g").alias("g"), F.col("id").alias("c"))
+        assert dict(number_within(df, ["g"], [F.col("c")], "n").dtypes)["n"] == "int"
+        assert dict(rank_within(df, "g", "c", "c", "k").dtypes)["k"] == "int"
+
+
+def test_authorizations_without_dates_cover_nothing(spark):
+    df = frame(spark, "claim", dict(claim_id="C1", member_id="M", service_from_date=dt.date(2026, 3, 1)))
+    df = df.select("claim_id", "member_id", "service_from_date", F.lit("T").alias("provider_type"))
+    auth = dict(auth_id=1, member_id="M", provider_type="T", auth_status="APPROVED")
+    for dates in (dict(auth_eff_date=dt.date(2026, 1, 1)), dict(auth_thru_date=dt.date(2027, 1, 1)), {}):
+        auths = frame(spark, "prior_auth", {**auth, **dates})
+        assert [r[0] for r in rows(flag_covered(df, auths, dates=df), "auth_on_file")] == [False]
+        assert flag_covered(df.limit(0), auths, dates=df.limit(0)).count() == 0
+
+
+def test_rank_keeps_ties(spark):
     data = [("A", f"P{i}", i // 3) for i in range(30)] + [("B", "P99", 1)]
     df = spark.createDataFrame(data, "g string, p string, v int")
-    got = rows(rank_within(df, "g", "v", "p", "k", split_rows), "g", "p", "k")
+    got = rows(rank_within(df, "g", "v", "p", "k"), "g", "p", "k")
     want = {(g, p): 1 + sum(1 for g2, _, v2 in data if g2 == g and v2 > v) for g, p, v in data}
     assert {(g, p): k for g, p, k in got} == want
 

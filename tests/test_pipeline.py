@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from remitlens.plans import analysis, health, pipeline, quality, warehouse
 from remitlens.plans.whatif import standardize_config
 from remitlens.sources.reference import reference_data
-from remitlens.sources.store import ClaimStore, read_staging
+from remitlens.sources.store import ClaimStore, on_dates, read_staging
 from tests.helpers import day, frame, members, money, providers, raw, rows
 
 AS_OF = dt.date(2026, 6, 1)
@@ -133,6 +133,22 @@ def test_a_failing_date_is_logged_and_the_others_load(store, monkeypatch):
     assert {s for (s,) in rows(store.read("partition_log"), "load_status")} == {"SUCCESS"}
 
 
+def test_dates_loaded_one_by_one_have_their_own_clock(store):
+    assert pipeline.backfill(store, "2026-01-10", "2026-01-11", isolate=True) == pipeline.BackfillCount(2, 0)
+    first, second = rows(store.read("partition_log"), "load_start_utc", "load_end_utc")
+    assert first[0] < first[1] <= second[0] < second[1]
+
+
+def test_a_load_reads_only_its_partitions(store):
+    claims = on_dates(store.read("claim"), "service_from_date", [day("2026-01-11"), day("2026-01-13")])
+    assert sorted({r[0] for r in rows(claims, "service_from_date")}) == [day("2026-01-11"), day("2026-01-13")]
+    # The tree text is cut off; the scan's own list of filters is not.
+    scan = claims._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    pruned = scan.partitionFilters().mkString(" ")
+    assert "2026-01-11" in pruned and "2026-01-13" in pruned and "IN (" in pruned
+    assert on_dates(store.read("claim"), "service_from_date", []).count() == 0
+
+
 def test_nightly_catches_up_and_gates(store):
     # One of the two rows that came for the 11th was rejected.
     with pytest.raises(health.PipelineUnhealthy, match="1 partition.*2026-01-11 REJECT RATE"):

@@ -9,8 +9,9 @@ a chance of about 0.4, all of them with about one in ten million.
 
 A node is worked in two steps, so that a group of near copies never yields all its pairs.  First every class is compared with the
 smallest class of each of its nodes, the smallest of these first and the others if that left them apart; the links found make components.  Then only nodes that still hold several components matter:
-the classes outside the node's largest component are compared with all classes of other components there, exhaustively while that is
-a bounded number for each class of the node, and after more branching otherwise.  Comparisons are screened by set sizes, by 128-bit sketches
+the classes outside the node's largest component are compared with all classes of other components there, as pairs while that is
+a bounded number for each class of the node, and by blocks of full sets without any screen otherwise.  No node is branched further: each level
+would lose links.  Comparisons as pairs are screened by set sizes, by 128-bit sketches
 and by the share of equal tokens (a pair at the threshold fails with a chance of about one in twenty thousand), and every link is
 confirmed on the full sets.
 
@@ -41,7 +42,8 @@ DEVIATIONS = 4.2
 UNRELATED = 0.05
 #: Comparisons for each class of a node that are made at once.
 WIDTH = 64
-MOST_DEPTH = 40
+#: Classes and set items of a block that is compared at once on full sets.
+BLOCK, BLOCK_ITEMS = 1024, 1 << 18
 
 _RNG = np.random.Generator(np.random.PCG64(5))
 _LOW, _HIGH, _ADD = (_RNG.integers(1, 1 << 32, TOKENS, dtype=np.uint64).astype(np.uint32) for _ in range(3))
@@ -177,6 +179,64 @@ def _pairs(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
     return found.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
 
+def _parts(rows: DataFrame, key: str) -> DataFrame:
+    """Per ``key``: its classes, those of its largest component, and that component."""
+    parts = rows.groupBy(key, "comp").agg(F.count("*").alias("n_comp"))
+    return parts.groupBy(key).agg(F.sum("n_comp").alias("size"), F.max("n_comp").alias("largest"), F.max(F.struct("n_comp", "comp"))["comp"].alias("major"))
+
+
+def _shared(x: list, y: list) -> np.ndarray:
+    """The number of items that each set of ``x`` shares with each of ``y``."""
+    flat = [(np.frombuffer(b"".join(sets), np.uint64), np.repeat(np.arange(len(sets)), [len(v) // 8 for v in sets])) for sets in (x, y)]
+    common = np.intersect1d(flat[0][0], flat[1][0])
+    out = np.zeros((len(x), len(y)), np.int64)
+    if not len(common):
+        return out
+    at = []
+    for values, owner in flat:
+        column = np.minimum(np.searchsorted(common, values), len(common) - 1)
+        held = common[column] == values
+        column, owner = column[held], owner[held]
+        order = np.argsort(column, kind="stable")
+        at.append((column[order], owner[order]))
+    for first in range(0, len(common), 4096):
+        ones = []
+        for (column, owner), sets in zip(at, (x, y), strict=True):
+            i, j = np.searchsorted(column, [first, first + 4096])
+            held = np.zeros((len(sets), 4096), np.float32)
+            held[owner[i:j], column[i:j] - first] = 1
+            ones.append(held)
+        out += (ones[0] @ ones[1].T).astype(np.int64)
+    return out
+
+
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest (a, b) of the links between classes of different components in two blocks, or in one."""
+    right = table.column("right").to_numpy(zero_copy_only=False)
+    cid, comp = (table.column(c).to_numpy() for c in ("cid", "comp"))
+    items = table.column("items").to_pylist()
+    x = np.flatnonzero(~right)
+    y = np.flatnonzero(right) if right.any() else x
+    size = np.array([len(v) // 8 for v in items])
+    shared = _shared([items[k] for k in x], [items[k] for k in y])
+    linked = (100 * shared >= percent * (size[x][:, None] + size[y] - shared)) & (comp[x][:, None] != comp[y])
+    near = np.zeros((len(cid), len(cid)), bool)
+    near[np.ix_(x, y)] = linked
+    near |= near.T
+    a, b, new = [], [], near.any(1)
+    while new.any():
+        front = np.flatnonzero(new)[:1]
+        new[front] = False
+        while len(front):
+            reached = np.flatnonzero(near[front].any(0) & new)
+            a.append(cid[front[near[np.ix_(front, reached)].argmax(0)]] if len(reached) else cid[:0])
+            b.append(cid[reached])
+            new[reached] = False
+            front = reached
+    ends = [np.concatenate([cid[:0], *c]) for c in (a, b)]
+    return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+
 class Join:
     """One run over ``docs`` (doc_id, text)."""
 
@@ -205,12 +265,10 @@ class Join:
         both = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "tokens_a", "tokens_b")
         return both.mapInArrow(compare, "a long, b long")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs`` (a, b), by their full sets."""
-        words, percent = self.words, self.percent
-        pairs = saved(self.likely(pairs), "likely")
-        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct().join(self.classes, "cid")
-        wanted = saved(wanted, "wanted")
+    def sets(self, cids: DataFrame) -> DataFrame:
+        """The full sets (cid, items) of the classes ``cids``."""
+        words = self.words
+        wanted = saved(cids.join(self.classes, "cid"), "wanted")
 
         def sets_of(batches):
             for batch in batches:
@@ -223,7 +281,13 @@ class Join:
         ids = wanted.select(F.col("rep").alias("doc_id"))
         texts = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
         found = texts.mapInArrow(sets_of, "k1 long, k2 long, items binary").join(wanted.select("k1", "k2", "cid"), ["k1", "k2"])
-        sets = saved(found.select("cid", "items").dropDuplicates(["cid"]), "sets")
+        return saved(found.select("cid", "items").dropDuplicates(["cid"]), "sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs`` (a, b), by their full sets."""
+        percent = self.percent
+        pairs = saved(self.likely(pairs), "likely")
+        sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct())
 
         def compare(batches):
             for batch in batches:
@@ -243,6 +307,43 @@ class Join:
         """``nodes`` with the component of each class; one that has no link is its own."""
         return nodes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
+    def exact(self, rows: DataFrame) -> DataFrame:
+        """Links between components among the classes (node, cid, n, comp) of large nodes, all of them up to those that others imply.
+
+        No screen is used: a node's classes are cut into blocks of similar set sizes, and blocks are compared on the full sets.
+        """
+        spark, percent = self.docs.sparkSession, self.percent
+        # Nodes that overlap are worked as one where that is no more to compare.
+        first = rows.groupBy("node").agg(F.min("cid").alias("a"))
+        edges = rows.join(first, "node").select("a", F.col("cid").alias("b")).where("a <> b").distinct()
+        groups = contracted(spark.createDataFrame([], "cid long, comp long"), edges).select("cid", F.col("comp").alias("grp"))
+        rows = saved(rows.join(groups, "cid").select("node", "grp", "cid", "n", "comp"), "large")
+        effort = F.sum(F.col("size") * (F.col("size") - F.col("largest")))
+        apart = _parts(rows, "node").join(rows.groupBy("node").agg(F.first("grp").alias("grp")), "node").groupBy("grp").agg(effort.alias("apart"))
+        whole = _parts(rows.select("grp", "cid", "comp").distinct(), "grp").groupBy("grp").agg(effort.alias("whole")).join(apart, "grp").where("whole <= apart")
+        rows = rows.join(whole.select("grp", "whole"), "grp", "left").select(F.when(F.col("whole").isNotNull(), F.col("grp")).otherwise(F.col("node")).alias("node"), "cid", "n", "comp").distinct()
+        # Set sizes of a link lie in one band or in two neighbouring ones.
+        band = F.floor(F.log("n") * ((1 - 1e-9) / max(-np.log(self.threshold), 1e-6)))
+        rows = saved(rows.withColumn("band", band), "banded")
+        rows = rows.join(_parts(rows, "node").where("size > largest").select("node", "major"), "node").withColumn("inner", F.col("comp") == F.col("major"))
+        key = ["node", "inner", "band"]
+        blocks = rows.groupBy(key).agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_ITEMS)).alias("blocks"))
+        rows = saved(rows.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("cid"), "blocks")).select(*key, "block", "cid", "comp"), "blocked")
+        key += ["block"]
+        blocks = saved(rows.select(key).distinct(), "blocks")
+        once = F.col("y.inner") | (F.struct("x.band", "x.block") <= F.struct("y.band", "y.block"))
+        pairs = blocks.where("not inner").alias("x").join(blocks.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & once)
+        pairs = saved(pairs.select(F.struct("x.*").alias("x"), F.struct("y.*").alias("y")).withColumn("pair", F.monotonically_increasing_id()), "block_pairs")
+        sides = pairs.select("pair", F.lit(False).alias("right"), "x.*").unionByName(pairs.where("x <> y").select("pair", F.lit(True).alias("right"), "y.*"))
+        full = saved(rows.join(self.sets(rows.select("cid").distinct()), "cid"), "block_sets")
+        both = full.join(sides, key).select("pair", "right", "cid", "comp", "items")
+        ship(spark)
+
+        def compare(table):
+            return _block_links(table, percent)
+
+        return saved(both.groupBy("pair").applyInArrow(compare, "a long, b long"), "links")
+
     def components(self) -> DataFrame:
         """cid and comp of every class with a link."""
         spark = self.docs.sparkSession
@@ -265,20 +366,14 @@ class Join:
         apart = stars.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
         labels = contracted(labels, self.confirmed(saved(apart.select("a", "b"), "apart")))
         nodes = nodes.drop("size", "first")
-        while depth < MOST_DEPTH:
-            rows = self.labelled(nodes, labels)
-            parts = rows.groupBy("node", "comp").agg(F.count("*").alias("n_comp"))
-            mixed = parts.groupBy("node").agg(F.sum("n_comp").alias("size"), F.max("n_comp").alias("largest"), F.count("*").alias("comps"), F.max(F.struct("n_comp", "comp"))["comp"].alias("major")).where("comps > 1")
-            rows = saved(rows.join(mixed.select("node", "size", "largest", "major"), "node"), "mixed")
-            small = F.col("size") - F.col("largest") <= WIDTH
-            minor = rows.where(small & (F.col("comp") != F.col("major")))
-            found = self.confirmed(_pairs(minor, rows.where(small), self.threshold))
-            labels = contracted(labels, found)
-            large = rows.where(~small)
-            if large.isEmpty():
-                break
-            nodes = branched(large.select("cid", "node").join(self.tops, "cid"), 1, self.threshold, False)
-            depth += 1
+        rows = self.labelled(nodes, labels)
+        rows = saved(rows.join(_parts(rows, "node").where("size > largest"), "node"), "mixed")
+        small = F.col("size") - F.col("largest") <= WIDTH
+        minor = rows.where(small & (F.col("comp") != F.col("major")))
+        labels = contracted(labels, self.confirmed(_pairs(minor, rows.where(small), self.threshold)))
+        large = rows.where(~small).select("node", "cid", "n")
+        if not large.isEmpty():
+            labels = contracted(labels, self.exact(self.labelled(large, labels)))
         return labels
 
     def result(self) -> DataFrame:

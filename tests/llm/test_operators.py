@@ -162,6 +162,34 @@ def test_large_group_of_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {k: c for k, (_, c) in want.items()}
 
 
+def dense_group(texts: int, pairs: int) -> list[tuple[int, str]]:
+    """Texts of one template at 0.786, and ``pairs`` of them planted at 0.802."""
+    rows = []
+    for k in range(texts):
+        own = [f"own{k}x{j}" for j in range(24)]
+        if k < 2 * pairs:
+            own[:2] = [f"pair{k // 2}x{j}" for j in range(2)]
+        rows.append((k, " ".join([f"w{j}" for j in range(176)] + own)))
+    return rows
+
+
+def test_dense_group_under_the_threshold(spark):
+    rows = dense_group(600, 200)
+    got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k // 2 * 2 if k < 400 else k for k, _ in rows}
+
+
+def test_blocks_of_a_large_node(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "BLOCK", 20)
+    monkeypatch.setattr(chosenpath, "WIDTH", 2)
+    rnd = random.Random(6)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(rnd.sample(base, rnd.randint(40, 58)))) for k in range(150)] + [(150 + k, " ".join([*base, f"x{k}"])) for k in range(40)]
+    got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    want = components_by_hand(rows, 1, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: c for k, (_, c) in want.items()}
+
+
 def test_spots(spark, docs, nothing):
     rows = sorted(enumerate(texts()), reverse=True)
     got = by_id(spots.edited_likeness(docs))

@@ -3,9 +3,9 @@
 Documents are sets of word shingles; rows with equal sets are one class.  Each class has minwise tokens: for ``TOKENS`` hash functions the
 smallest value over its set.  A tree starts with all classes in one node and branches: a node draws one or two of the
 tokens (1 / threshold on average) and sends each class to the children named by its values there, so similar sets go the same
-way more often.  The draw depends on the node alone, so a class finds its own nodes without looking at others.  ``TREES``
-independent trees are branched to a depth that makes nodes of unrelated sets small; each tree misses a pair at the threshold with
-a chance of about 0.4, all of them with about one in ten million.
+way more often.  The draw depends on the node alone, so a class finds its own nodes without looking at others.  Independent trees are
+branched to a depth that makes nodes of unrelated sets small.  The deeper they are, the more of them lose a pair at the threshold, so their
+number follows from the depth (``trees``): all of them miss it with a chance of about one in a million.
 
 A node is worked in two steps, so that a group of near copies never yields all its pairs.  First every class is compared with the
 smallest class of each of its nodes, the smallest of these first and the others if that left them apart; the links found make components.  Then only nodes that still hold several components matter:
@@ -25,6 +25,8 @@ doc_id is never the smallest of a component that has another.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from remitlens.llm.support import LOWER_ASCII, Hasher, mix, saved, ship, slices, text_bytes, word_spans
 
 TOKENS = 128
-TREES = 16
+#: Chance that all trees miss a pair at the threshold; it sets their number.
+MISSED = 1e-6
 #: Bits of two sketches that may differ: 0.1 of 128 are expected at a similarity of 0.8, the rest is over four deviations.
 SKETCH_OFF = 28
 #: Deviations that the share of equal tokens may lie under the threshold.
@@ -131,6 +134,32 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sketch long, sketch2 long, tokens binary")
 
 
+def missed(depth: int, trees: int, threshold: float) -> float:
+    """The chance that ``trees`` trees of ``depth`` levels all miss a pair at the threshold.
+
+    The trees draw from the same tokens, so the share of equal ones is held in common; shares that the screen drops anyway do not count.
+    """
+    least, total = threshold - DEVIATIONS * (threshold * (1 - threshold) / TOKENS) ** 0.5, 0.0
+    twice = min(1, 1 / threshold - 1)
+    for equal in range(TOKENS + 1):
+        share = equal / TOKENS
+        if share >= least:
+            lost = 0.0
+            for _ in range(depth):
+                one = 1 - share + share * lost
+                lost = (1 - twice) * one + twice * one * one
+            total += comb(TOKENS, equal) * threshold**equal * (1 - threshold) ** (TOKENS - equal) * lost**trees
+    return total
+
+
+def trees(depth: int, threshold: float) -> int:
+    """The fewest trees of ``depth`` levels that miss a pair at the threshold with a chance of at most ``MISSED``."""
+    n = 1
+    while missed(depth, n, threshold) > MISSED:
+        n += 1
+    return n
+
+
 def _children(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """The child nodes of (class row, node): each node draws its tokens from its own name."""
     draw = mix(node + np.uint64(0x51ED27))
@@ -142,28 +171,24 @@ def _children(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray, threshold
     return np.concatenate([name(every, one), name(some, (one + step) % TOKENS)]), np.concatenate([owner, owner[some]])
 
 
-def branched(rows: DataFrame, levels: int, threshold: float, start: bool) -> DataFrame:
-    """Nodes of classes after ``levels`` more levels: from the roots of all trees, or from the ``node`` of each row."""
+def branched(rows: DataFrame, levels: int, threshold: float) -> DataFrame:
+    """Nodes of classes after ``levels`` levels from the roots of all trees."""
     ship(rows.sparkSession)
-    keep = ["cid", "n", "sketch", "sketch2"]
+    keep, roots = ["cid", "n", "sketch", "sketch2"], trees(levels, threshold)
 
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                tokens = np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint32).reshape(-1, TOKENS)
-                owner = np.arange(len(part))
-                if start:
-                    owner = np.repeat(owner, TREES)
-                    node = np.tile(mix(np.arange(1, TREES + 1, dtype=np.uint64)), len(part))
-                else:
-                    node = part.column(5).to_numpy().view(np.uint64)
+                tokens = np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
+                owner = np.repeat(np.arange(len(part)), roots)
+                node = np.tile(mix(np.arange(1, roots + 1, dtype=np.uint64)), len(part))
                 for _ in range(levels):
-                    node, owner = _children(node, owner, tokens.astype(np.uint64), threshold)
+                    node, owner = _children(node, owner, tokens, threshold)
                 index = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(part.column(k).take(index) for k in range(4))], ["node", *keep])
 
-    return rows.select(*keep, "tokens", *([] if start else ["node"])).mapInArrow(run, "node long, cid long, n long, sketch long, sketch2 long")
+    return rows.select(*keep, "tokens").mapInArrow(run, "node long, cid long, n long, sketch long, sketch2 long")
 
 
 def _plausible(threshold: float):
@@ -349,7 +374,7 @@ class Join:
         spark = self.docs.sparkSession
         n = max(1, self.tops.count())
         depth = max(2, int(np.ceil(np.log(n / 4 + 1) / np.log(1 / UNRELATED))))
-        nodes = branched(self.tops, depth, self.threshold, True)
+        nodes = branched(self.tops, depth, self.threshold)
         shared = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("cid").alias("first")).where("size > 1")
         nodes = saved(nodes.join(shared, "node"), "nodes")
         own = nodes.withColumn("comp", F.col("cid"))

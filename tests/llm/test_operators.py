@@ -179,6 +179,25 @@ def test_dense_group_under_the_threshold(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {k: k // 2 * 2 if k < 400 else k for k, _ in rows}
 
 
+def test_trees_keep_their_recall_at_every_depth():
+    assert [chosenpath.trees(d, 0.8) for d in (2, 3, 4, 5, 6, 7)] == [12, 17, 21, 26, 32, 39]
+    assert chosenpath.missed(4, 16, 0.8) > 1e-5 and chosenpath.trees(3, 1.0) == 1
+    rnd, depth, lost = np.random.default_rng(3), 4, 0
+    few, pairs = 4, 3000  # the formula beside the branching itself, with few trees
+    tokens = rnd.integers(0, 1 << 32, (pairs, chosenpath.TOKENS)).astype(np.uint64)
+    other = np.where(rnd.random(tokens.shape) < 0.8, tokens, tokens ^ np.uint64(1))
+    for x, y in zip(tokens, other, strict=True):
+        roots = rnd.integers(0, 1 << 63, few).astype(np.uint64)
+        nodes = []
+        for t in (x, y):
+            node, owner = roots, np.zeros(few, int)
+            for _ in range(depth):
+                node, owner = chosenpath._children(node, owner, t[None], 0.8)
+            nodes.append(node)
+        lost += not np.isin(*nodes).any()
+    assert lost / pairs == pytest.approx(chosenpath.missed(depth, few, 0.8), abs=0.015)
+
+
 def test_blocks_of_a_large_node(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "BLOCK", 20)
     monkeypatch.setattr(chosenpath, "WIDTH", 2)

@@ -11,9 +11,9 @@ A node is worked in two steps, so that a group of near copies never yields all i
 smallest class of each of its nodes, the smallest of these first and the others if that left them apart; the links found make components.  Then only nodes that still hold several components matter:
 the classes outside the node's largest component are compared with all classes of other components there, as pairs while that is
 a bounded number for each class of the node, and by blocks of full sets without any screen otherwise.  No node is branched further: each level
-would lose links.  Comparisons as pairs are screened by set sizes, by 128-bit sketches
-and by the share of equal tokens (a pair at the threshold fails with a chance of about one in twenty thousand), and every link is
-confirmed on the full sets.
+would lose links.  Comparisons as pairs are screened by set sizes and, but for
+sets of up to 16 shingles, by 128-bit sketches and by the share of equal tokens (a pair at the threshold fails with a chance of about
+one in twenty thousand), and every link is confirmed on the full sets.
 
 Components come from repeated contraction: every component takes the smallest of its neighbours, chains are shortened, and links are
 renamed until none is left.  All steps are joins and aggregations written to the shared folder once.
@@ -37,6 +37,8 @@ from remitlens.llm.support import LOWER_ASCII, Hasher, mix, saved, ship, slices,
 TOKENS = 128
 #: Chance that all trees miss a pair at the threshold; it sets their number.
 MISSED = 1e-6
+#: Sets of up to so many shingles are not screened but go to the confirmation.
+FEW = 16
 #: Bits of two sketches that may differ: 0.1 of 128 are expected at a similarity of 0.8, the rest is over four deviations.
 SKETCH_OFF = 28
 #: Deviations that the share of equal tokens may lie under the threshold.
@@ -123,7 +125,8 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 sketches, tokens = np.zeros((len(n), 2), np.int64), [None] * len(n)
                 if full.any():
                     found = tokens_of(sets, np.concatenate([begins[:-1][full], begins[-1:]]))
-                    sketches[full] = np.packbits((found & 1).astype(np.uint8), axis=1).view(np.int64)
+                    # The lowest bits of tokens hang together, as the multipliers are odd; mixed ones do not.
+                    sketches[full] = np.packbits((mix(found.astype(np.uint64)) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
                     for at, row in zip(np.flatnonzero(full).tolist(), found, strict=True):
                         tokens[at] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -192,10 +195,10 @@ def branched(rows: DataFrame, levels: int, threshold: float) -> DataFrame:
 
 
 def _plausible(threshold: float):
-    """Whether sizes and sketches of ``x`` and ``y`` leave the similarity possible."""
+    """Whether sizes and sketches of ``x`` and ``y`` leave the similarity possible; sketches only of larger sets."""
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     off = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("sketch", "sketch2")]
-    return (small >= F.lit(threshold) * large) & (off[0] + off[1] <= SKETCH_OFF)
+    return (small >= F.lit(threshold) * large) & ((small <= FEW) | (off[0] + off[1] <= SKETCH_OFF))
 
 
 def _pairs(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
@@ -278,16 +281,17 @@ class Join:
         self.tops = saved(full.join(tops, "rid", "left_semi").select(F.col("rid").alias("cid"), F.col("n_shingles").alias("n"), "sketch", "sketch2", "tokens"), "tops")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """The ``pairs`` whose share of equal tokens is near the threshold or above."""
+        """The ``pairs`` whose share of equal tokens is near the threshold or above, and all of small sets."""
         least = self.threshold - DEVIATIONS * (self.threshold * (1 - self.threshold) / TOKENS) ** 0.5
 
         def compare(batches):
             for batch in batches:
-                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, TOKENS) for c in batch.columns[2:])
-                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
+                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, TOKENS) for c in batch.columns[2:4])
+                few = batch.column(4).to_numpy() <= FEW
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(few | ((x == y).mean(1) >= least)))
 
-        tokens = lambda c: self.tops.select(F.col("cid").alias(c), F.col("tokens").alias(f"tokens_{c}"))
-        both = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "tokens_a", "tokens_b")
+        tokens = lambda c: self.tops.select(F.col("cid").alias(c), F.col("tokens").alias(f"tokens_{c}"), F.col("n").alias(f"n_{c}"))
+        both = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "tokens_a", "tokens_b", F.least("n_a", "n_b").alias("n"))
         return both.mapInArrow(compare, "a long, b long")
 
     def sets(self, cids: DataFrame) -> DataFrame:

@@ -198,6 +198,15 @@ def test_trees_keep_their_recall_at_every_depth():
     assert lost / pairs == pytest.approx(chosenpath.missed(depth, few, 0.8), abs=0.015)
 
 
+def test_links_of_short_texts(spark):
+    rows = []
+    for k in range(600):
+        words = [f"w{k}x{j}" for j in range(6)]
+        rows += [(2 * k, " ".join(words[:5])), (2 * k + 1, " ".join(words))]  # 4 and 5 shingles of two words, exactly 0.8
+    got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k // 2 * 2 for k, _ in rows}
+
+
 def test_blocks_of_a_large_node(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "BLOCK", 20)
     monkeypatch.setattr(chosenpath, "WIDTH", 2)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chosenpath, language, lines, packing, repetition, sharding, spots, urls, warc
+from remitlens.llm import bpe, chosenpath, divergence, language, lines, packing, repetition, sharding, spots, urls, warc
 from remitlens.llm.support import scratch
 
 
@@ -74,6 +74,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
@@ -85,10 +89,12 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_shuffle": op9_shuffle,
     "op10_language": op10_language,
+    "op11_divergence": op11_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_lines": lines.SQL,
     "op7_warc": warc.SQL,
     "op8_urls": urls.SQL,
+    "op11_divergence": divergence.SQL,
 }

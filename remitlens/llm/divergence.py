@@ -12,8 +12,11 @@ Pass 2, recount: each task counts the terms of its documents by (lang, source),
 (lang, source, slot, count) for the kept ones; a partial aggregate adds them.  A slot is ``shard << 32 | place``: dense within
 its shard, so that the counts of a group are an array over slots.
 
-The scores are exact integer arithmetic with Spark's functions; zero counts are handled in closed form so that no
-(group, term) grid is ever built.  Contract (``divergences``):
+The scores are exact integer arithmetic.  Part ``term`` is Spark functions over the non-zero counts.  Part ``pair`` needs f
+over every kept term for every two sources: each (lang, shard) is one task holding a dense matrix of the lang's sources by the
+shard's terms (p0 where a source lacks a term), which numpy sums for every pair; Spark adds the partial sums of the shards.
+No (pair, term) row is ever shuffled.  The sources of all langs are broadcast after their size is measured; more than
+``BROADCAST_BYTES`` of them raise.  Contract (``divergences``):
 
 * null text, lang and source are ''; terms are runs of ``TERM`` after A-Z is lower-cased; repeated rows are documents each.
 * every (lang, source) group that occurs, and every lang, gives each kept term of the lang ``p = 1 + floor(1e9 (count + 2) /
@@ -146,8 +149,8 @@ def _recount(lookup_value, flush: int = 1 << 20):
     def run(batches):
         lookup = lookup_value.value
         slots: dict = {}
+        counts: dict = collections.Counter()
         for batch in batches:
-            counts: dict = collections.Counter()
             cols = batch.to_pydict()
             for lang, source, text in zip(cols["lang"], cols["source"], cols["text"]):
                 for term, n in collections.Counter(_TERM.findall(text)).items():
@@ -157,8 +160,8 @@ def _recount(lookup_value, flush: int = 1 << 20):
                     counts = collections.Counter()
                     if len(slots) >= flush:
                         slots = {}
-            if counts:
-                yield emit(counts, slots, lookup)
+        if counts:
+            yield emit(counts, slots, lookup)
 
     return run
 
@@ -265,6 +268,48 @@ def _f(p: str, q: str):
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})")
 
 
+def _pair_sums(known):
+    import pandas as pd
+
+    def run(frame):
+        names, p0 = known.value[frame["lang"].iloc[0]]
+        where = {name: i for i, name in enumerate(names)}
+        slots, column = np.unique(frame["slot"].to_numpy(), return_inverse=True)
+        p = np.repeat(p0[:, None], len(slots), axis=1)
+        p[frame["source"].map(where).to_numpy(), column] = frame["p"].to_numpy()
+        sources, items, values = [], [], []
+        for i, name in enumerate(names):
+            d = p[i] - p
+            values.append(((d * d) // (p[i] + p)).sum(axis=1))
+            sources.extend([name] * len(names))
+            items.extend(names)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "source": sources, "item": items, "value": np.concatenate(values)})
+
+    return run
+
+
+def pair_sums(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, source, item, value): f summed over all kept terms for every two sources of a lang (and a source with itself).
+
+    Each (lang, shard) of entries is one task; the sources of every lang and their p0 are broadcast after their size is
+    measured.  Beyond ``BROADCAST_BYTES`` the (lang, shard) tasks get the sources of their lang by a join instead.
+    """
+    spark = entries.sparkSession
+    size = groups.where(F.col("v") > 0).agg(F.sum(F.length("lang") + F.length("source") + 64).alias("b")).first()["b"] or 0
+    if size > BROADCAST_BYTES:
+        raise NotImplementedError("more sources than one broadcast holds")
+    known: dict[str, tuple[list[str], np.ndarray]] = {}
+    for r in groups.where(F.col("v") > 0).orderBy("lang", "source").toLocalIterator():
+        names, values = known.setdefault(r["lang"], ([], []))
+        names.append(r["source"])
+        values.append(r["p0"])
+    known = {k: (names, np.array(values, np.int64)) for k, (names, values) in known.items()}
+    shared = spark.sparkContext.broadcast(known)
+    keyed = entries.select("lang", "source", "slot", "p", F.shiftright("slot", 32).alias("shard"))
+    partial = keyed.groupBy("lang", "shard").applyInPandas(_pair_sums(shared), "lang string, source string, item string, value long")
+    return partial.where(F.col("source") != F.col("item")).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+
+
 def divergences(docs: DataFrame) -> DataFrame:
     """Rows (lang, source, part, item, value, rank) as the module's docstring states."""
     base = normalised(docs)
@@ -284,31 +329,15 @@ def divergences(docs: DataFrame) -> DataFrame:
     groups = groups.withColumn("p0", _p("0", "n", "v"))
     entries = counts.join(groups, ["lang", "source"]).select("lang", "source", "slot", "count", _p("count", "n", "v").alias("p"))
 
-    # Pairs: V f(p0, p0') plus, over the terms either source holds, the difference to that constant.
+    # Pairs: every kept term is counted in some group of its lang, so the terms of a (lang, shard) with all the lang's
+    # sources form a dense matrix of p (p0 where a source has none of the term); a task sums f over it for every pair.
     a, b = groups.alias("a"), groups.alias("b")
     pairs = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.source") != F.col("b.source"))).select(
-        F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("b.source").alias("item"),
-        F.col("a.v").alias("v"), F.col("a.p0").alias("p0a"), F.col("b.p0").alias("p0b"),
-    )
-    other = entries.select("lang", F.col("source").alias("item"), "slot", F.col("p").alias("pb"))
-    rows = (
-        entries.join(pairs, ["lang", "source"])
-        .join(other, ["lang", "item", "slot"], "left")
-        .withColumn("pb_", F.coalesce("pb", "p0b"))
-        .select("lang", "source", "item", (F.col("pb").isNull()).alias("alone"), (_f("p", "pb_") - _f("p0a", "p0b")).alias("d"))
+        F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("b.source").alias("item")
     )
-    both = rows.select(
-        "lang",
-        F.explode(
-            F.when(
-                F.col("alone"),
-                F.array(F.struct(F.col("source").alias("s"), F.col("item").alias("t"), "d"), F.struct(F.col("item").alias("s"), F.col("source").alias("t"), "d")),
-            ).otherwise(F.array(F.struct(F.col("source").alias("s"), F.col("item").alias("t"), "d")))
-        ).alias("r"),
-    ).groupBy("lang", F.col("r.s").alias("source"), F.col("r.t").alias("item")).agg(F.sum("r.d").alias("d"))
-    pair_part = pairs.join(both, ["lang", "source", "item"], "left").select(
-        "lang", "source", F.lit("pair").alias("part"), "item",
-        F.coalesce(F.col("v") * _f("p0a", "p0b") + F.coalesce("d", F.lit(0)), F.lit(0)).cast("long").alias("value"),
+    sums = pair_sums(entries, groups)
+    pair_part = pairs.join(sums, ["lang", "source", "item"], "left").select(
+        "lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("long").alias("value")
     )
 
     # Terms: a group's p against its lang's.

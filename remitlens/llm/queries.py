@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chosenpath, divergence, language, lines, packing, repetition, sharding, spots, urls, warc
+from remitlens.llm import bpe, chosenpath, divergence, language, lines, packing, repetition, sharding, spots, urls, variants, warc
 from remitlens.llm.support import scratch
 
 
@@ -78,6 +78,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergences(table(spark, sf_dir, "documents"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
@@ -90,6 +94,7 @@ QUERIES = {
     "op9_shuffle": op9_shuffle,
     "op10_language": op10_language,
     "op11_divergence": op11_divergence,
+    "op12_variants": op12_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chosenpath, divergence, language, lines, packing, repetition, sharding, spots, urls, variants, warc
+from remitlens.llm import bpe, chosenpath, decontam, divergence, language, lines, packing, repetition, sharding, spots, urls, variants, warc
 from remitlens.llm.support import scratch
 
 
@@ -82,6 +82,12 @@ def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_repetition": op2_repetition,
@@ -95,6 +101,7 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_divergence": op11_divergence,
     "op12_variants": op12_variants,
+    "op13_decontam": op13_decontam,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,4 +109,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc": warc.SQL,
     "op8_urls": urls.SQL,
     "op11_divergence": divergence.SQL,
+    "op13_decontam": decontam.SQL,
 }

@@ -42,6 +42,7 @@ from remitlens.llm.support import saved, ship
 
 #: Fixed values of the contract: the term pattern, the least document count, the scale of p and the term ranks reported.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
@@ -152,8 +153,12 @@ def _recount(lookup_value, flush: int = 1 << 20):
         counts: dict = collections.Counter()
         for batch in batches:
             cols = batch.to_pydict()
+            # The texts of one (lang, source) in a batch are read as one: a space never belongs to a term.
+            texts: dict[tuple[str, str], list[str]] = collections.defaultdict(list)
             for lang, source, text in zip(cols["lang"], cols["source"], cols["text"]):
-                for term, n in collections.Counter(_TERM.findall(text)).items():
+                texts[(lang, source)].append(text)
+            for (lang, source), some in texts.items():
+                for term, n in collections.Counter(_TERM.findall(" ".join(some))).items():
                     counts[(lang, source, term)] += n
                 if len(counts) >= flush:
                     yield emit(counts, slots, lookup)
@@ -206,7 +211,9 @@ def normalised(docs: DataFrame) -> DataFrame:
 
 def kept_terms(docs: DataFrame) -> DataFrame:
     """(lang, term) of the terms in at least ``LEAST_DOCS`` documents of their lang: pass 1."""
-    terms = docs.select("lang", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0))).alias("term"))
+    # Splitting at runs of the complement gives the terms, and an empty string at an edge or for a text without terms.
+    parts = F.array_distinct(F.split("text", F.lit(SEPARATORS)))
+    terms = docs.select("lang", F.explode(F.array_remove(parts, "")).alias("term"))
     return terms.groupBy("lang", "term").count().where(F.col("count") >= LEAST_DOCS).select("lang", "term")
 
 

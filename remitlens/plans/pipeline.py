@@ -74,7 +74,7 @@ def _load(store: ClaimStore, dates: DataFrame) -> None:
     """
     started = dt.datetime.now(dt.timezone.utc)
     days = dates_of(dates)
-    claims = with_denials(on_dates(store.read("claim"), "service_from_date", days), store.read("claim_denial"))
+    claims = with_denials(store.read_dates("claim", days), store.read("claim_denial"))
     fact = materialise(
         build_fact(
             claims, store.read("provider"), store.read("fee_schedule"),

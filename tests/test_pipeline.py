@@ -198,3 +198,40 @@ def test_staging_is_read_as_text(spark, tmp_path):
         path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     got = read_staging(spark, path, "f1", "csv")
     assert rows(got, "units", "billed_raw") == [(" 7 ", "$1,240.00 ")]
+
+
+def test_a_write_that_stops_before_the_switch_leaves_the_old_rows(store, monkeypatch):
+    pipeline.backfill(store, "2026-01-10", "2026-01-13")
+    before = fact(store)
+    dates = store.spark.createDataFrame([(day("2026-01-11"),)], "partition_date date")
+
+    def stopped(table, entries):
+        raise RuntimeError("executor lost before the switch")
+
+    monkeypatch.setattr(store, "_switch", stopped)
+    changed = store.read("fact_claim_denial_daily").withColumn("claim_count", F.col("claim_count") + 100)
+    with pytest.raises(RuntimeError):
+        store.replace_dates("fact_claim_denial_daily", changed, dates)
+    assert fact(store) == before
+    monkeypatch.undo()
+    store.replace_dates("fact_claim_denial_daily", changed.filter(F.col("service_date") == day("2026-01-11")), dates)
+    after = {r for r in fact(store)}
+    assert after != set(before) and all(r[3] > 100 for r in after if r[0] == day("2026-01-11"))
+
+
+def test_readers_list_only_the_current_version_of_their_dates(store):
+    pipeline.backfill(store, "2026-01-10", "2026-01-13")
+    pipeline.backfill(store, "2026-01-11", "2026-01-11", reload=True)
+    live = store.live("fact_claim_denial_daily")
+    assert len(set(live.values())) == 2
+    one = store.read_dates("fact_claim_denial_daily", [day("2026-01-11")])
+    roots = one._jdf.queryExecution().sparkPlan().collectLeaves().head().relation().location().rootPaths().mkString(" ")
+    assert f"version={live[day('2026-01-11')]}/service_date=2026-01-11" in roots and roots.count("version=") == 1
+
+
+def test_vacuum_removes_only_unread_versions(store):
+    pipeline.backfill(store, "2026-01-11", "2026-01-11")
+    pipeline.backfill(store, "2026-01-11", "2026-01-11", reload=True)
+    whole, live = fact(store), set(store.live("fact_claim_denial_daily").values())
+    gone = store.vacuum("fact_claim_denial_daily")
+    assert gone and not (set(gone) & live) and fact(store) == whole

@@ -199,6 +199,7 @@ _SELECTS: dict[str, str] = {
     "priced_claims": "SELECT claim_id, provider_type, expected_allowed FROM w_priced",
     "classified_claims": "SELECT claim_id, provider_type, rule_id, verdict FROM w_classified",
     "daily_fact": f"SELECT {FACT} FROM w_fact",
+    "stored_daily_fact": f"SELECT {FACT} FROM w_fact",
     "fact_partition_reload": f"""
         SELECT * REPLACE (claim_count + CASE WHEN {INDEX.format('service_date')} % 7 = 0 THEN 1 ELSE 0 END
                           AS claim_count)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +19,10 @@ from remitlens.operators.merge import merge_claims, merge_partition_log
 from remitlens.operators.modifiers import explode_modifiers
 from remitlens.operators.spine import calendar_from_bounds, date_spine, number_spine
 from remitlens.plans import adjudicate as adj
-from remitlens.plans import analysis, cleanse, health, quality, report, warehouse, whatif
+from remitlens.plans import analysis, cleanse, health, pipeline, quality, report, warehouse, whatif
 from remitlens.schemas import SCHEMAS, columns
-from remitlens.session import materialise
+from remitlens.session import materialise, shared_folder
+from remitlens.sources.store import ClaimStore
 from remitlens.sources.reference import PCT_PREFIX
 from samplemap.tables import AS_OF, FILES, Sample
 
@@ -355,6 +357,25 @@ def daily_fact(r: Run) -> DataFrame:
     return r.fact.select(*FACT_COLUMNS)
 
 
+@query
+def stored_daily_fact(r: Run) -> DataFrame:
+    """The daily fact as the stored pipeline leaves it: tables written to a new store in the shared folder, every claim
+    adjudicated there, every date from the first claim's to the last one's loaded as a version of its own and switched by
+    the manifest, then read back through it.  Equal to ``daily_fact``."""
+    store = ClaimStore(r.spark, f"{shared_folder(r.spark)}/remitlens-store-{uuid.uuid4().hex}")
+    tables = {
+        "member": r.members, "provider": r.providers, "benefit_category": r.benefits, "prior_auth": r.auths,
+        "fee_schedule": r.fees, "plan_config": r.config, "adjudication_rule": r.rules, "claim": r.claims,
+    }
+    for table, df in tables.items():
+        store.replace(table, df)
+    pipeline.run_adjudication(store)
+    first, last = store.read("claim").agg(F.min("service_from_date"), F.max("service_from_date")).first()
+    if first is not None:
+        pipeline.backfill(store, first, last)
+    return store.read("fact_claim_denial_daily").select(*FACT_COLUMNS)
+
+
 @query
 def fact_partition_reload(r: Run) -> DataFrame:
     """Every 7th date is reloaded; on every 14th its claims have disappeared meanwhile."""

@@ -5,8 +5,8 @@ A word is read as a binary vector with one dimension per (letter, occurrence): "
 pair: the dimensions are dealt by a fixed hash into ``PARTS`` partitions of ``SUBPARTS`` subpartitions; two vectors within
 Hamming distance k agree on some partition in all but ``k2 = ceil((k + 1) / PARTS) - 1`` subpartitions, so each word emits,
 for every partition, its projection on every choice of ``SUBPARTS - k2`` subpartitions.  Words that share a signature (and
-whose lengths differ by at most one) are paired by an equi-join; a pair is kept only at the first signature it shares, so
-no pair is produced twice, and is verified by Spark's bounded Levenshtein distance.
+whose lengths differ by at most one) are paired by an equi-join of narrow (word, length, signature) rows, verified by Spark's
+bounded Levenshtein distance, and the verified pairs made distinct.
 
 The runs, the deletions, the counts, the join, the choice of a form and the roots (pointer doubling) are DataFrame
 operations; only the signatures are computed in Python, one row at a time, in Arrow batches.
@@ -105,16 +105,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b) for every two words one edit apart, each pair once with a < b in length, then code-point order."""
     ship(words.sparkSession)
     signed = words.select("word").mapInArrow(_signed, "word string, sigs array<bigint>")
-    signed = signed.select("word", "sigs", F.char_length("word").alias("len"), F.posexplode("sigs").alias("k", "sig"))
-    left = signed.select(F.col("word").alias("a"), F.col("sigs").alias("sa"), F.col("len").alias("la"), "k", "sig")
-    # A right word of length L meets left words of length L and L - 1.
-    right = signed.select(
-        F.col("word").alias("b"), F.col("sigs").alias("sb"), "k", "sig", F.explode(F.array(F.col("len"), F.col("len") - 1)).alias("la")
-    )
-    joined = left.join(right, ["k", "sig", "la"])
-    first = F.forall(F.sequence(F.lit(0), F.col("k")), lambda i: (i == F.col("k")) | (F.element_at("sa", i + 1) != F.element_at("sb", i + 1)))
-    ordered = (F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b"))
-    return joined.where(ordered & first).where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
+    # Narrow rows, one per signature; both sides of the join are the same exchange.
+    signed = signed.select("word", F.char_length("word").alias("len"), F.posexplode("sigs").alias("k", "sig"))
+    left = signed.select(F.col("word").alias("a"), F.col("len").alias("la"), "k", "sig")
+    right = signed.select(F.col("word").alias("b"), F.col("len").alias("lb"), "k", "sig")
+    joined = left.join(right, ["k", "sig"]).where(F.abs(F.col("la") - F.col("lb")) <= 1)
+    ordered = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
+    # A pair that shares several signatures is verified at each; the verified pairs are few and made distinct.
+    return joined.where(ordered).where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
 
 
 def variants(docs: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -36,6 +37,8 @@ from remitlens.llm.support import saved, ship
 
 #: Fixed values of the contract: the word pattern and the window length.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Its complement: words are the pieces between runs of these.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 
 #: The most bytes of windows broadcast at once.
@@ -60,16 +63,27 @@ def windows(benchmark: DataFrame) -> DataFrame:
     return items.select("item_id", F.explode(cut).alias("window")).groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-def _keys(ids: np.ndarray, width: int) -> np.ndarray:
-    """Exact keys of the shingles of ``width`` words at every position (-1 where a word is outside the vocabulary)."""
+def _keys(ids: np.ndarray, width: int, same: np.ndarray | None = None) -> np.ndarray:
+    """Exact keys of the shingles of ``width`` words at every position (-1 where a word is outside the vocabulary, or, when
+    ``same`` marks which neighbouring positions belong to one document, where a pair would cross two)."""
     if width == 1:
         return np.where(ids >= 0, ids + 1, -1)
     if len(ids) < 2:
         return np.zeros(0, np.int64)
     ok = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    if same is not None:
+        ok &= same
     return np.where(ok, ((ids[:-1] + 1) << 32) | (ids[1:] + 1), -1)
 
 
+def _member(keys: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
+    """Which ``keys`` are in ``sorted_keys``, by binary search (the sorted side is never sorted again)."""
+    if len(sorted_keys) == 0 or len(keys) == 0:
+        return np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return sorted_keys[at] == keys
+
+
 class Block:
     """The windows of one block: vocabulary, word ids, and, once counted, the prefix of each window."""
 
@@ -83,6 +97,10 @@ class Block:
         self.all_keys = np.unique(np.concatenate(shingles)) if shingles else np.zeros(0, np.int64)
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         self.prefix_keys = np.zeros(0, np.int64)
+        self.vocab_array: pa.Array | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "vocab_array": None}
 
     def choose_prefixes(self, counts: dict[int, int]) -> None:
         """Each window's rarest shingle (ties: the first); windows whose rarest shingle never occurs are left out."""
@@ -96,20 +114,42 @@ class Block:
     def ids(self, text: str | None) -> np.ndarray:
         return np.array([self.vocab.get(w, -1) for w in words_of(text)], np.int64)
 
+    def batch_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Word ids of a whole column of texts (-1 outside the vocabulary) and each text's word offsets, tokenized and looked
+        up by Arrow's kernels: A-Z lower-cased, split at separator runs, empty pieces of the ends dropped."""
+        if self.vocab_array is None:
+            self.vocab_array = pa.array(list(self.vocab), pa.string())
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        pieces = pc.split_pattern_regex(pc.ascii_lower(texts), pattern=SEPARATORS)
+        flat = pieces.flatten()
+        parents = np.asarray(pieces.value_parent_indices(), np.int64)
+        real = np.asarray(pc.greater(pc.binary_length(flat), 0).fill_null(False), bool)
+        ids = np.asarray(pc.index_in(flat.filter(pa.array(real)), value_set=self.vocab_array).cast(pa.int64()).fill_null(-1), np.int64)
+        counts = np.bincount(parents[real], minlength=len(texts))
+        return ids, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+    def batch_keys(self, ids: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+        """Keys of every position of the concatenated ids, pairs never crossing from one text into the next."""
+        if width == 1:
+            return _keys(ids, 1)
+        same = np.ones(max(len(ids) - 1, 0), bool)
+        ends = offsets[1:-1] - 1
+        same[ends[(ends >= 0) & (ends < len(same))]] = False
+        return _keys(ids, 2, same)
+
 
 def _counts(block_value):
     def run(batches):
         block = block_value.value
-        found: dict[int, int] = {}
+        found = np.zeros(len(block.all_keys), np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                ids = block.ids(text)
-                for width in block.widths:
-                    keys = _keys(ids, width)
-                    keys = keys[np.isin(keys, block.all_keys)]
-                    for key, n in zip(*np.unique(keys, return_counts=True)):
-                        found[int(key)] = found.get(int(key), 0) + int(n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["key", "count"])
+            ids, offsets = block.batch_ids(batch.column("text"))
+            for width in block.widths:
+                keys = block.batch_keys(ids, offsets, width)
+                keys = keys[_member(keys, block.all_keys)]
+                found += np.bincount(np.searchsorted(block.all_keys, keys), minlength=len(block.all_keys))
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(block.all_keys[seen], pa.int64()), pa.array(found[seen], pa.int64())], names=["key", "count"])
 
     return run
 
@@ -118,33 +158,35 @@ def _hits(block_value, carried: list[str]):
     def run(batches):
         block = block_value.value
         for batch in batches:
-            n_words, starts, ends, items = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = block.ids(text)
-                n = len(ids)
-                spans: list[tuple[int, int]] = []
-                held: set[int] = set()
-                for width in block.widths:
-                    keys = _keys(ids, width)
-                    for pos in np.flatnonzero(np.isin(keys, block.prefix_keys)):
-                        for k, offset in block.prefix.get(int(keys[pos]), ()):
-                            window = block.windows[k]
-                            if min(2, len(window)) != width:
-                                continue
-                            start = int(pos) - offset
-                            if start < 0 or start + len(window) > n:
-                                continue
-                            if np.array_equal(ids[start : start + len(window)], window):
-                                spans.append((start, start + len(window)))
-                                held.update(block.items[k])
-                n_words.append(n)
-                spans.sort()
-                starts.append([s for s, _ in spans])
-                ends.append([e for _, e in spans])
-                items.append(sorted(held))
+            ids, offsets = block.batch_ids(batch.column("text"))
+            n_docs = batch.num_rows
+            spans: list[list[tuple[int, int]]] = [[] for _ in range(n_docs)]
+            held: list[set[int]] = [set() for _ in range(n_docs)]
+            for width in block.widths:
+                keys = block.batch_keys(ids, offsets, width)
+                for g in np.flatnonzero(_member(keys, block.prefix_keys)):
+                    doc = int(np.searchsorted(offsets, g, side="right")) - 1
+                    first, n = int(offsets[doc]), int(offsets[doc + 1] - offsets[doc])
+                    for k, offset in block.prefix[int(keys[g])]:
+                        window = block.windows[k]
+                        if min(2, len(window)) != width:
+                            continue
+                        start = int(g) - first - offset
+                        if start < 0 or start + len(window) > n:
+                            continue
+                        if np.array_equal(ids[first + start : first + start + len(window)], window):
+                            spans[doc].append((start, start + len(window)))
+                            held[doc].update(block.items[k])
+            for doc_spans in spans:
+                doc_spans.sort()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried]
-                + [pa.array(n_words, pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))],
+                + [
+                    pa.array(np.diff(offsets), pa.int64()),
+                    pa.array([[s for s, _ in d] for d in spans], pa.list_(pa.int64())),
+                    pa.array([[e for _, e in d] for d in spans], pa.list_(pa.int64())),
+                    pa.array([sorted(h) for h in held], pa.list_(pa.int64())),
+                ],
                 names=[*carried, "_n_words", "_starts", "_ends", "_items"],
             )
 

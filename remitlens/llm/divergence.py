@@ -52,10 +52,15 @@ SHARD_KEYS = 4096
 BUCKET_KEYS = 4
 BROADCAST_BYTES = 256 << 20
 SEED = 0x5EED
+#: Pilots tried at once by a bucket.
+TRIES = 64
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TERM = re.compile(TERM)
 _MASK = (1 << 32) - 1
+_MASK64 = (1 << 64) - 1
+#: Constants of the place mix (a 64-bit finaliser) and the pilot's spread.
+_GOLDEN, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xCA5A826395121157
 _KEYS = "lang string, source string, text string"
 
 
@@ -74,15 +79,26 @@ def shard_of(h: int, shards: int) -> int:
 
 
 def _place(h: int, pilot: int, m: int) -> int:
-    d0, d1 = divmod(pilot, m)
-    return ((h & _MASK) + d0 * (((h >> 32) & _MASK) | 1) + d1) % m
+    """The place of a key under a pilot: the low 64 bits of its hash and the pilot, mixed (every pilot gives fresh places)."""
+    x = (h & _MASK64) ^ ((pilot * _GOLDEN) & _MASK64)
+    x = ((x ^ (x >> 32)) * _MIX1) & _MASK64
+    x = ((x ^ (x >> 29)) * _MIX2) & _MASK64
+    return (x ^ (x >> 32)) % m
+
+
+def _places(low: np.ndarray, pilots: np.ndarray, m: int) -> np.ndarray:
+    """``_place`` of every key (rows, low 64 hash bits as uint64) under every pilot (columns)."""
+    x = low[:, None] ^ (pilots.astype(np.uint64) * np.uint64(_GOLDEN))[None, :]
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX1)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX2)
+    return ((x ^ (x >> np.uint64(32))) % np.uint64(m)).astype(np.int64)
 
 
 def build_shard(keys: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Pilots of a minimal perfect hash over ``keys`` and the keys in slot order.
 
-    Buckets are placed largest first; a bucket takes the first pilot whose places are distinct and free.  A bucket of one key
-    finds a free place within ``m`` pilots, so the search always ends.
+    Buckets are placed largest first; a bucket takes the first pilot whose places are distinct and free.  Every pilot mixes
+    the key's hash afresh, so each try succeeds with the chance of a random placement and the search ends.
     """
     m = len(keys)
     n_buckets = max(1, -(-m // BUCKET_KEYS))
@@ -91,19 +107,25 @@ def build_shard(keys: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     for i, h in enumerate(hashes):
         members[((h >> 64) & _MASK) % n_buckets].append(i)
     pilots = np.zeros(n_buckets, np.int64)
-    taken = [False] * m
+    taken = np.zeros(m, bool)
     by_slot: list[bytes] = [b""] * m
+    low = np.array([h & _MASK64 for h in hashes], np.uint64)
     for bucket, inside in sorted(members.items(), key=lambda kv: (-len(kv[1]), kv[0])):
-        pilot = 0
+        # The places of every key of the bucket under TRIES pilots at once, as ``_place`` computes them.
+        first = 0
         while True:
-            places = [_place(hashes[i], pilot, m) for i in inside]
-            if len(set(places)) == len(places) and not any(taken[p] for p in places):
+            tried = np.arange(first, first + TRIES, dtype=np.int64)
+            places = _places(low[inside], tried, m)
+            ordered = np.sort(places, axis=0)
+            fits = ~taken[places].any(axis=0) & (np.diff(ordered, axis=0) != 0).all(axis=0)
+            if fits.any():
+                at = int(np.argmax(fits))
                 break
-            pilot += 1
-        pilots[bucket] = pilot
-        for i, p in zip(inside, places):
+            first += TRIES
+        pilots[bucket] = first + at
+        for i, p in zip(inside, places[:, at]):
             taken[p] = True
-            by_slot[p] = keys[i]
+            by_slot[int(p)] = keys[i]
     return pilots, by_slot
 
 
@@ -130,43 +152,41 @@ def _recount(lookup_value, flush: int = 1 << 20):
     """(lang, source, slot, count) of the kept terms of a task's documents."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slot", pa.int64()), ("count", pa.int64())])
 
-    def emit(counts: dict, slots: dict, lookup: Lookup):
-        langs, sources, found, numbers = [], [], [], []
-        for (lang, source, term), n in counts.items():
-            key = (lang, term)
-            slot = slots.get(key)
-            if slot is None:
-                slot = slots[key] = lookup.slot(key_bytes(lang, term))
-            if slot >= 0:
-                langs.append(lang)
-                sources.append(source)
-                found.append(slot)
-                numbers.append(n)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(found, pa.int64()), pa.array(numbers, pa.int64())],
-            schema=schema,
-        )
-
     def run(batches):
+        import pyarrow.compute as pc
+
         lookup = lookup_value.value
         slots: dict = {}
-        counts: dict = collections.Counter()
         for batch in batches:
-            cols = batch.to_pydict()
-            # The texts of one (lang, source) in a batch are read as one: a space never belongs to a term.
-            texts: dict[tuple[str, str], list[str]] = collections.defaultdict(list)
-            for lang, source, text in zip(cols["lang"], cols["source"], cols["text"]):
-                texts[(lang, source)].append(text)
-            for (lang, source), some in texts.items():
-                for term, n in collections.Counter(_TERM.findall(" ".join(some))).items():
-                    counts[(lang, source, term)] += n
-                if len(counts) >= flush:
-                    yield emit(counts, slots, lookup)
-                    counts = collections.Counter()
-                    if len(slots) >= flush:
-                        slots = {}
-        if counts:
-            yield emit(counts, slots, lookup)
+            # Terms are the pieces between separator runs (empty pieces at the edges dropped), split and counted per
+            # (lang, source, term) by Arrow; only the distinct keys of the batch reach Python, each looked up once a task.
+            pieces = pc.split_pattern_regex(batch.column("text"), pattern=SEPARATORS)
+            parents = pa.array(pieces.value_parent_indices())
+            terms = pieces.flatten()
+            real = pc.greater(pc.binary_length(terms), 0)
+            table = pa.table({
+                "lang": batch.column("lang").take(parents.filter(real)),
+                "source": batch.column("source").take(parents.filter(real)),
+                "term": terms.filter(real),
+            })
+            grouped = table.group_by(["lang", "source", "term"], use_threads=False).aggregate([([], "count_all")]).to_pydict()
+            langs, sources, found, numbers = [], [], [], []
+            for lang, source, term, n in zip(grouped["lang"], grouped["source"], grouped["term"], grouped["count_all"]):
+                key = (lang, term)
+                slot = slots.get(key)
+                if slot is None:
+                    slot = slots[key] = lookup.slot(key_bytes(lang, term))
+                if slot >= 0:
+                    langs.append(lang)
+                    sources.append(source)
+                    found.append(slot)
+                    numbers.append(n)
+            if len(slots) >= flush:
+                slots = {}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(found, pa.int64()), pa.array(numbers, pa.int64())],
+                schema=schema,
+            )
 
     return run
 

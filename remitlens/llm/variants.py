@@ -5,7 +5,8 @@ A word is read as a binary vector with one dimension per (letter, occurrence): "
 pair: the dimensions are dealt by a fixed hash into ``PARTS`` partitions of ``SUBPARTS`` subpartitions; two vectors within
 Hamming distance k agree on some partition in all but ``k2 = ceil((k + 1) / PARTS) - 1`` subpartitions, so each word emits,
 for every partition, its projection on every choice of ``SUBPARTS - k2`` subpartitions.  Words that share a signature (and
-whose lengths differ by at most one) are paired by an equi-join of narrow (word, length, signature) rows, verified by Spark's
+whose lengths differ by at most one) are paired by an equi-join of narrow (word, length, signature) rows on signature and
+length (the longer side emits its length and one less), verified by Spark's
 bounded Levenshtein distance, and the verified pairs made distinct.
 
 The runs, the deletions, the counts, the join, the choice of a form and the roots (pointer doubling) are DataFrame
@@ -108,9 +109,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # Narrow rows, one per signature; both sides of the join are the same exchange.
     signed = signed.select("word", F.char_length("word").alias("len"), F.posexplode("sigs").alias("k", "sig"))
     left = signed.select(F.col("word").alias("a"), F.col("len").alias("la"), "k", "sig")
-    right = signed.select(F.col("word").alias("b"), F.col("len").alias("lb"), "k", "sig")
-    joined = left.join(right, ["k", "sig"]).where(F.abs(F.col("la") - F.col("lb")) <= 1)
-    ordered = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
+    # The length is part of the key: a right word of length L meets left words of length L and L - 1 only.
+    right = signed.select(F.col("word").alias("b"), F.col("len").alias("lb"), "k", "sig").withColumn(
+        "la", F.explode(F.array(F.col("lb"), F.col("lb") - 1))
+    )
+    joined = left.join(right, ["k", "sig", "la"])
+    ordered = (F.col("la") < F.col("lb")) | (F.col("a") < F.col("b"))
     # A pair that shares several signatures is verified at each; the verified pairs are few and made distinct.
     return joined.where(ordered).where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from remitlens.operators.asof import asof_rate
 from remitlens.operators.coverage import flag_covered
-from remitlens.operators.hierarchy import hierarchy
+from remitlens.operators.hierarchy import hierarchy, unreachable
 from remitlens.operators.ledger import append_rejects
 from remitlens.operators.ranking import number_within, rank_within
 from remitlens.operators.spine import calendar_from_bounds, date_spine, number_spine
@@ -168,6 +168,40 @@ def test_hierarchy_depth_limit_and_loops(spark):
     assert rows(hierarchy(looped, "id", "parent"), "*") == [("A", "A", 0)]
 
 
+def walked(pairs):
+    """The walk over the rows one level at a time, as a recursive query does it."""
+    level = [(n, n, 0) for n, p in pairs if p is None]
+    out = list(level)
+    while level:
+        level = [(n, r, d + 1) for n, p in pairs for m, r, d in level if p == m]
+        out += level
+    return sorted(out)
+
+
+def test_hierarchy_by_doubling_equals_a_walk(spark):
+    import random
+
+    rnd = random.Random(7)
+    for size in (1, 9, 60, 300):
+        pairs = [(f"N{i}", None if i == 0 or rnd.random() < 0.1 else f"N{rnd.randrange(i)}") for i in range(size)]
+        pairs += [("L1", "L2"), ("L2", "L1"), ("U", "L1"), ("D", "GONE"), ("E", "D"), pairs[-1]]
+        df = spark.createDataFrame(pairs, "id string, parent string")
+        assert rows(hierarchy(df, "id", "parent", max_depth=400), "*") == walked(pairs)
+        lost = {(n, r, m) for n, r, m in rows(unreachable(df, "id", "parent"), "*")}
+        assert lost == {("L1", "loop", None), ("L2", "loop", None), ("U", "loop", None), ("D", "dangling", "GONE"), ("E", "dangling", "GONE")}
+    assert hierarchy(chain(spark, 3).limit(0), "id", "parent").count() == 0
+
+
+def test_hierarchy_takes_log_passes(spark, monkeypatch):
+    from remitlens.operators import hierarchy as module
+
+    jumps = []
+    real = module._jump
+    monkeypatch.setattr(module, "_jump", lambda state: jumps.append(1) or real(state))
+    assert max(d for _, _, d in rows(module.hierarchy(chain(spark, 25), "id", "parent"), "*")) == 25
+    assert len(jumps) == 5
+
+
 def test_ledger_takes_each_row_once(spark):
     old = frame(spark, "claim_reject", dict(source_file_name="f", raw_row_num=1, reject_reason="old"))
     new = frame(spark, "claim_reject",

@@ -152,14 +152,21 @@ _SELECTS: dict[str, str] = {
     "parse_units": "SELECT raw_row_num, units FROM s_normalized",
     "parse_dates": "SELECT raw_row_num, service_from_date, service_thru_date, received_date FROM s_normalized",
     "parse_currency": "SELECT raw_row_num, billed_amount FROM s_normalized",
-    "dedupe_latest": "SELECT claim_id, raw_row_num FROM s_label_a WHERE claim_id IS NOT NULL AND arrival_rank = 1",
-    "validate_rejects": "SELECT raw_row_num, claim_id, reject_reason FROM s_label_a",
+    "dedupe_latest": """
+        SELECT 'claims_a' AS source_file_name, claim_id, raw_row_num FROM s_label_a WHERE claim_id IS NOT NULL AND arrival_rank = 1
+        UNION ALL
+        SELECT 'claims_b', claim_id, raw_row_num FROM s_label_b WHERE claim_id IS NOT NULL AND arrival_rank = 1""",
+    "validate_rejects": """
+        SELECT 'claims_a' AS source_file_name, raw_row_num, claim_id, reject_reason FROM s_label_a
+        UNION ALL SELECT 'claims_b', raw_row_num, claim_id, reject_reason FROM s_label_b""",
     "reject_append_once": """
         SELECT source_file_name, raw_row_num, claim_id, service_from_date AS service_date,
                CASE WHEN raw_row_num % 2 = 0 THEN 'EARLIER RUN' ELSE reject_reason END AS reject_reason
         FROM s_label_a WHERE reject_reason IS NOT NULL""",
     "merge_claims": merged("e_claim", "s_good_b"),
-    "modifier_explode": MODIFIERS.format("s_good_a"),
+    "modifier_explode": f"""
+        SELECT 'claims_a' AS source_file_name, * FROM ({MODIFIERS.format("s_good_a")})
+        UNION ALL SELECT 'claims_b', * FROM ({MODIFIERS.format("s_good_b")})""",
     "cleanse_accepted": f"SELECT {CLAIM_COLUMNS} FROM s_after_b",
     "cleanse_rejects": "SELECT * FROM s_reject",
     "cleanse_modifiers": ALL_MODIFIERS,

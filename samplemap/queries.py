@@ -192,15 +192,27 @@ def parse_currency_column(r: Run) -> DataFrame:
     return r.staging.select("raw_row_num", parse_currency(F.col("billed_raw")).alias("billed_amount"))
 
 
+def each_file(rows) -> DataFrame:
+    """``rows(file)`` of every submission file with the file's name first: each file is cleansed on its own, as a load does."""
+    parts = [rows(file).select(F.lit(file).alias("source_file_name"), "*") for file in FILES]
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part)
+    return united
+
+
 @query
 def dedupe_latest_rows(r: Run) -> DataFrame:
-    rows = cleanse.normalize(r.landed.filter(F.col("source_file_name") == FILES[0]))
-    return dedupe_latest(rows, "claim_id", "raw_row_num").select("claim_id", "raw_row_num")
+    def latest(file: str) -> DataFrame:
+        rows = cleanse.normalize(r.landed.filter(F.col("source_file_name") == file))
+        return dedupe_latest(rows, "claim_id", "raw_row_num").select("claim_id", "raw_row_num")
+
+    return each_file(latest)
 
 
 @query
 def validate_rejects(r: Run) -> DataFrame:
-    return r.labelled(FILES[0]).select("raw_row_num", "claim_id", "reject_reason")
+    return each_file(lambda file: r.labelled(file).select("raw_row_num", "claim_id", "reject_reason"))
 
 
 @query
@@ -219,7 +231,7 @@ def merge_claims_snapshot(r: Run) -> DataFrame:
 
 @query
 def modifier_explode(r: Run) -> DataFrame:
-    return explode_modifiers(r.good(FILES[0]))
+    return each_file(lambda file: explode_modifiers(r.good(file)))
 
 
 @query

@@ -162,7 +162,11 @@ _SELECTS: dict[str, str] = {
     "reject_append_once": """
         SELECT source_file_name, raw_row_num, claim_id, service_from_date AS service_date,
                CASE WHEN raw_row_num % 2 = 0 THEN 'EARLIER RUN' ELSE reject_reason END AS reject_reason
-        FROM s_label_a WHERE reject_reason IS NOT NULL""",
+        FROM s_label_a WHERE reject_reason IS NOT NULL
+        UNION ALL
+        SELECT source_file_name, raw_row_num, claim_id, service_from_date AS service_date,
+               CASE WHEN raw_row_num % 2 = 0 THEN 'EARLIER RUN' ELSE reject_reason END AS reject_reason
+        FROM s_label_b WHERE reject_reason IS NOT NULL""",
     "merge_claims": merged("e_claim", "s_good_b"),
     "modifier_explode": f"""
         SELECT 'claims_a' AS source_file_name, * FROM ({MODIFIERS.format("s_good_a")})
@@ -229,8 +233,7 @@ _SELECTS: dict[str, str] = {
     "load_dates_results": f"""
         SELECT partition_date, (SELECT count(*) FROM w_fact WHERE service_date = partition_date) AS rows_written,
                (SELECT count(*) FROM m_claim WHERE service_from_date = partition_date) AS source_rows_read,
-               (SELECT count(*) FROM s_reject WHERE source_file_name = 'claims_a'
-                AND service_date = partition_date) AS rejected_rows,
+               (SELECT count(*) FROM s_reject WHERE service_date = partition_date) AS rejected_rows,
                'SUCCESS' AS load_status, CAST(NULL AS VARCHAR) AS load_message
         FROM w_calendar WHERE {INDEX.format('partition_date')} % 3 = 0""",
     "backfill_pending_dates": f"""

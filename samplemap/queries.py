@@ -218,7 +218,7 @@ def validate_rejects(r: Run) -> DataFrame:
 @query
 def reject_append_once(r: Run) -> DataFrame:
     """Half of the rejects are already in the ledger, under another reason."""
-    rejects = cleanse.rejected_rows(r.labelled(FILES[0]))
+    rejects = each_file(lambda file: cleanse.rejected_rows(r.labelled(file)).drop("source_file_name"))
     ledger = rejects.filter("raw_row_num % 2 = 0").withColumn("reject_reason", F.lit("EARLIER RUN"))
     return append_rejects(rejects, ledger).select(*REJECT_COLUMNS)
 
@@ -430,7 +430,7 @@ def load_dates_results(r: Run) -> DataFrame:
     dates = (
         calendar_from_bounds(r.claims, "service_from_date").filter(day_index("partition_date") % 3 == 0)
     )
-    rejects = materialise(cleanse.rejected_rows(r.labelled(FILES[0])))
+    rejects = materialise(each_file(lambda file: cleanse.rejected_rows(r.labelled(file)).drop("source_file_name")))
     load = warehouse.load_dates(
         dates, r.stored, rejects, r.providers, r.fees, r.rules, r.config, dt.datetime(2002, 1, 1)
     )

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.llm.support import saved, ship
+from remitlens.llm.support import saved, ship, slices
 
 #: Fixed values of the contract: the term pattern, the least document count, the scale of p and the term ranks reported.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -148,8 +148,9 @@ class Lookup:
         return (shard << 32) | place if by_slot[place] == key else -1
 
 
-def _recount(lookup_value, flush: int = 1 << 20):
-    """(lang, source, slot, count) of the kept terms of a task's documents."""
+def _recount(lookup_value, flush: int = 1 << 18):
+    """(lang, source, slot, count) of the kept terms of a task's documents; at most ``flush`` rows and as many looked-up keys
+    are held at once."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slot", pa.int64()), ("count", pa.int64())])
 
     def run(batches):
@@ -157,36 +158,51 @@ def _recount(lookup_value, flush: int = 1 << 20):
 
         lookup = lookup_value.value
         slots: dict = {}
-        for batch in batches:
-            # Terms are the pieces between separator runs (empty pieces at the edges dropped), split and counted per
-            # (lang, source, term) by Arrow; only the distinct keys of the batch reach Python, each looked up once a task.
-            pieces = pc.split_pattern_regex(batch.column("text"), pattern=SEPARATORS)
-            parents = pa.array(pieces.value_parent_indices())
-            terms = pieces.flatten()
-            real = pc.greater(pc.binary_length(terms), 0)
-            table = pa.table({
-                "lang": batch.column("lang").take(parents.filter(real)),
-                "source": batch.column("source").take(parents.filter(real)),
-                "term": terms.filter(real),
-            })
-            grouped = table.group_by(["lang", "source", "term"], use_threads=False).aggregate([([], "count_all")]).to_pydict()
-            langs, sources, found, numbers = [], [], [], []
-            for lang, source, term, n in zip(grouped["lang"], grouped["source"], grouped["term"], grouped["count_all"]):
-                key = (lang, term)
-                slot = slots.get(key)
-                if slot is None:
-                    slot = slots[key] = lookup.slot(key_bytes(lang, term))
-                if slot >= 0:
-                    langs.append(lang)
-                    sources.append(source)
-                    found.append(slot)
-                    numbers.append(n)
-            if len(slots) >= flush:
-                slots = {}
-            yield pa.RecordBatch.from_arrays(
+        langs, sources, found, numbers = [], [], [], []
+
+        def out():
+            batch = pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(found, pa.int64()), pa.array(numbers, pa.int64())],
                 schema=schema,
             )
+            for rows in (langs, sources, found, numbers):
+                rows.clear()
+            return batch
+
+        for batch in batches:
+            # A batch is read in slices of about SLICE_BYTES of text, so a task holds the terms of one slice at a time.
+            for first, end in slices(batch.column("text")):
+                part = batch.slice(first, end - first)
+                # Terms are the pieces between separator runs (empty pieces at the edges dropped), counted per (group,
+                # term) by Arrow, a group being the row's (lang, source) as one integer; only the distinct keys of the
+                # slice reach Python, each (lang, term) looked up once a task.
+                langs_of = pc.dictionary_encode(part.column("lang"))
+                sources_of = pc.dictionary_encode(part.column("source"))
+                group = np.asarray(langs_of.indices, np.int64) * len(sources_of.dictionary) + np.asarray(sources_of.indices, np.int64)
+                pieces = pc.split_pattern_regex(part.column("text"), pattern=SEPARATORS)
+                parents = np.asarray(pieces.value_parent_indices(), np.int64)
+                terms = pieces.flatten()
+                real = np.asarray(pc.greater(pc.binary_length(terms), 0), bool)
+                table = pa.table({"group": pa.array(group[parents[real]]), "term": terms.filter(pa.array(real))})
+                grouped = table.group_by(["group", "term"], use_threads=False).aggregate([([], "count_all")]).to_pydict()
+                lang_names, source_names = langs_of.dictionary.to_pylist(), sources_of.dictionary.to_pylist()
+                width = len(source_names)
+                for code, term, n in zip(grouped["group"], grouped["term"], grouped["count_all"]):
+                    lang, source = lang_names[code // width], source_names[code % width]
+                    key = (lang, term)
+                    slot = slots.get(key)
+                    if slot is None:
+                        slot = slots[key] = lookup.slot(key_bytes(lang, term))
+                    if slot >= 0:
+                        langs.append(lang)
+                        sources.append(source)
+                        found.append(slot)
+                        numbers.append(n)
+                if len(found) >= flush:
+                    yield out()
+            if len(slots) >= flush:
+                slots = {}
+        yield out()
 
     return run
 

@@ -159,17 +159,20 @@ class Sample:
         )
 
     @cached_property
-    def _lobs(self) -> DataFrame:
-        return self.raw("customer").selectExpr("c_custkey as o_custkey", "c_mktsegment as lob")
+    def _booked_orders(self) -> DataFrame:
+        """Orders with their customer's line of business, joined while they are still fewer and narrower than the lines."""
+        lobs = self.raw("customer").selectExpr("c_custkey as o_custkey", "c_mktsegment as lob")
+        return self._orders.join(lobs, "o_custkey")
 
-    def _claim_lines(self, lines: DataFrame) -> DataFrame:
-        """Derive the clean values of claim lines (l_orderkey, l_linenumber)."""
+    def _claim_lines(self, lines: DataFrame, orders: DataFrame) -> DataFrame:
+        """Derive the clean values of claim lines (l_orderkey, l_linenumber) with the columns of their orders."""
         carried = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+        ordered = [c for c in orders.columns if c not in ("l_orderkey", "order_day")]
         return (
             lines.selectExpr("*", "l_orderkey * 8 + l_linenumber as n")
-            .join(self._orders, "l_orderkey")
+            .join(orders, "l_orderkey")
             .selectExpr(
-                "l_orderkey", "l_linenumber", "n", "o_custkey", "suppkey", "member_id", "provider_id",
+                "l_orderkey", "l_linenumber", "n", *ordered,
                 *carried, *[f"{value} as {name}" for name, value in CLAIM_VALUES.items()],
             )
             .selectExpr("*", f"date_add(service_from_date, {LAG_DAYS}) as received_date")
@@ -183,7 +186,7 @@ class Sample:
             .toDF("l_orderkey", "l_linenumber", "price")
             .selectExpr("l_orderkey", "l_linenumber", f"{CENTS.format('price')} as billed_amount")
         )
-        claims = self._claim_lines(lines).join(self._lobs, "o_custkey").selectExpr(
+        claims = self._claim_lines(lines, self._booked_orders).selectExpr(
             "*",
             "cast(null as string) as modifier_list",
             "service_from_date as service_thru_date",
@@ -200,7 +203,7 @@ class Sample:
         lines = self.raw("lineitem").select("l_orderkey", "l_linenumber").distinct()
         needed = self.benefits.filter("auth_required_flag").select("provider_type")
         return (
-            self._claim_lines(lines)
+            self._claim_lines(lines, self._orders)
             .selectExpr("*", f"{provider_type('suppkey')} as provider_type")
             .join(needed, "provider_type", "left_semi")
             .filter(f"{h('n', 137, 100)} >= if(provider_type = 'Transportation', 88, 8)")
@@ -235,7 +238,7 @@ class Sample:
                    * 64L + slice as v""",
             )
         )
-        rows = self._claim_lines(lines).join(self._lobs, "o_custkey").selectExpr(
+        rows = self._claim_lines(lines, self._booked_orders).selectExpr(
             "*",
             "n * 16777216 + v as raw_row_num",
             # Decides what is wrong with the row.
@@ -251,9 +254,13 @@ class Sample:
 
     @cached_property
     def partition_log(self) -> DataFrame:
+        return self.log_of(self.claims)
+
+    @staticmethod
+    def log_of(claims: DataFrame) -> DataFrame:
         """A log with every kind of fault, over the dates that have claims."""
         return (
-            self.claims.groupBy("service_from_date").count()
+            claims.groupBy("service_from_date").count()
             .selectExpr(
                 "service_from_date as partition_date",
                 "count as seen",

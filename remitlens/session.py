@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 #: Settings the jobs are written for.  None of them changes a result.
 SETTINGS = {
@@ -23,7 +28,7 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     # The JVM never compiles a method above 8000 bytecodes; a stage whose generated code is
     # longer runs faster operator by operator.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT: "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -51,6 +56,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def method_limit(spark: SparkSession):
+    """Writes inside run with the method limit the jobs are written for; the session's own comes back afterwards.
+
+    Stages as wide as the raw text's otherwise run as one method that the JVM only interprets.
+    """
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, SETTINGS[METHOD_LIMIT])
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, for a result that is read several times.
 
@@ -59,5 +78,13 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/remitlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with method_limit(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that Spark knows to be empty: joins with it fall away instead of shuffling their other side."""
+    return spark.range(0).filter(F.lit(False)).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from remitlens.operators.merge import merge_claims, merge_partition_log
 from remitlens.schemas import SCHEMAS, columns
-from remitlens.session import materialise
+from remitlens.session import materialise, method_limit, no_rows
 
 FOLDERS = {
     "claim_import": "staging",
@@ -75,7 +75,7 @@ class ClaimStore:
     def read(self, table: str) -> DataFrame:
         """A table with its declared schema; no rows when it was never written."""
         if not self.exists(table):
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            return no_rows(self.spark, SCHEMAS[table])
         if table == "partition_log":
             return self._latest_log()
         if table in PARTITION_COLUMN:
@@ -114,7 +114,7 @@ class ClaimStore:
 
     def _read_versions(self, table: str, live: dict) -> DataFrame:
         if not live:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            return no_rows(self.spark, SCHEMAS[table])
         column, data = PARTITION_COLUMN[table], self._data_path(table)
         paths = [f"{data}/version={folder}/{column}={day.isoformat()}" for day, folder in sorted(live.items())]
         rows = self.spark.read.schema(SCHEMAS[table]).option("basePath", data).parquet(*paths)
@@ -128,9 +128,12 @@ class ClaimStore:
         column = PARTITION_COLUMN[table]
         newest = self._manifest(table).agg(F.max("version")).first()[0] or 0
         folder = f"{newest + 1:010d}-{uuid.uuid4().hex[:8]}"
-        rows = df.select(*columns(table))
-        rows.hint("rebalance", column).write.partitionBy(column).parquet(f"{self._data_path(table)}/version={folder}")
-        counts = {r[0]: r[1] for r in rows.groupBy(column).count().toLocalIterator() if r[0] is not None}
+        path = f"{self._data_path(table)}/version={folder}"
+        with method_limit(self.spark):
+            df.select(*columns(table)).hint("rebalance", column).write.partitionBy(column).parquet(path)
+        # Counted from the files just written: ``df`` may be a long plan and is not run again.
+        written = self.spark.read.schema(SCHEMAS[table]).parquet(path)
+        counts = {r[0]: r[1] for r in written.groupBy(column).count().toLocalIterator() if r[0] is not None}
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         entries = [(day, newest + 1, folder, counts.get(day, 0), now) for day in sorted(set(days) | set(counts))]
         self._switch(table, entries)

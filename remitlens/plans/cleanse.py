@@ -135,10 +135,13 @@ def cleanse_and_load(
 ) -> CleanseResult:
     """Cleanse one source file against the current snapshots and return the next ones.
 
-    The labelled rows feed all three results, so they are written once in between.
+    The labelled rows feed all three results, so they are written once in between.  They all
+    are of one file, and told so as a literal, Spark reads only that file's rows of the ledger.
     """
     raw = staging.filter(F.col("source_file_name") == source_file)
-    labelled = materialise(label_rows(normalize(raw), members, providers, as_of))
+    labelled = materialise(label_rows(normalize(raw), members, providers, as_of)).withColumn(
+        "source_file_name", F.lit(source_file)
+    )
     accepted = accepted_rows(labelled, rejects)
     return CleanseResult(
         claims=merge_claims(claims, accepted),

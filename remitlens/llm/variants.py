@@ -4,9 +4,10 @@ A word is read as a binary vector with one dimension per (letter, occurrence): "
 (l,2).  Two words one insertion, deletion or replacement apart differ in at most two dimensions.  PartEnum finds every such
 pair: the dimensions are dealt by a fixed hash into ``PARTS`` partitions of ``SUBPARTS`` subpartitions; two vectors within
 Hamming distance k agree on some partition in all but ``k2 = ceil((k + 1) / PARTS) - 1`` subpartitions, so each word emits,
-for every partition, its projection on every choice of ``SUBPARTS - k2`` subpartitions.  Words that share a signature (and
-whose lengths differ by at most one) are paired by an equi-join of narrow (word, length, signature) rows, verified by Spark's
-bounded Levenshtein distance, and the verified pairs made distinct.
+for every partition, its projection on every choice of ``SUBPARTS - k2`` subpartitions.  One edit also leaves a half of the words
+alone: with m the shorter one's length, their first ``m div 2`` code points are equal or their last ``m - m div 2``.  So words are
+paired by an equi-join on signature, m and half, in which a word is the shorter one at its own length and the longer one at its
+length and one less.  The pairs are verified by Spark's bounded Levenshtein distance and made distinct.
 
 The runs, the deletions, the counts, the join, the choice of a form and the roots (pointer doubling) are DataFrame
 operations; only the signatures are computed in Python, one row at a time, in Arrow batches.
@@ -41,7 +42,7 @@ FORM_RATIO = 10
 #: PartEnum: Hamming distance, partitions and subpartitions of the dimensions.
 DISTANCE = 2
 PARTS = 1
-SUBPARTS = 6
+SUBPARTS = 3
 SEED = 0x1E77E25
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,17 +102,33 @@ def counted(docs: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b) for every two words one edit apart, each pair once with a < b in length, then code-point order."""
+def joinable(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, la, key) of every word as the shorter one of a pair and (b, lb, key) as the longer one or one of equal length.
+
+    A key is a hash of signature, the shorter one's length and a half; a collision only adds a pair that the verification removes.
+    """
     ship(words.sparkSession)
     signed = words.select("word").mapInArrow(_signed, "word string, sigs array<bigint>")
-    # Narrow rows, one per signature; both sides of the join are the same exchange.
-    signed = signed.select("word", F.char_length("word").alias("len"), F.posexplode("sigs").alias("k", "sig"))
-    left = signed.select(F.col("word").alias("a"), F.col("len").alias("la"), "k", "sig")
-    right = signed.select(F.col("word").alias("b"), F.col("len").alias("lb"), "k", "sig")
-    joined = left.join(right, ["k", "sig"]).where(F.abs(F.col("la") - F.col("lb")) <= 1)
+
+    def halves(m: str) -> list:
+        return [F.xxhash64(F.lit(0), F.expr(m), F.expr(f"left(word, ({m}) div 2)")), F.xxhash64(F.lit(1), F.expr(m), F.expr(f"right(word, {m} - ({m}) div 2)"))]
+
+    signed = signed.withColumn("len", F.char_length("word"))
+    signed = saved(signed.select("word", "len", "sigs", F.array(*halves("len"), *halves("len - 1")).alias("halves")), "variants-signed")
+
+    def rows(taken, word: str, length: str) -> DataFrame:
+        each = signed.select("word", "len", "halves", F.explode("sigs").alias("sig"))
+        return each.select(F.col("word").alias(word), F.col("len").alias(length), "sig", F.explode(taken).alias("half")).select(word, length, F.xxhash64("sig", "half").alias("key"))
+
+    return rows(F.slice("halves", 1, 2), "a", "la"), rows(F.col("halves"), "b", "lb")
+
+
+def near_pairs(words: DataFrame) -> DataFrame:
+    """(a, b) for every two words one edit apart, each pair once with a < b in length, then code-point order."""
+    left, right = joinable(words)
+    joined = left.join(right, "key").where(F.col("lb") - F.col("la") <= 1)
     ordered = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
-    # A pair that shares several signatures is verified at each; the verified pairs are few and made distinct.
+    # A pair that shares several keys is verified at each; the verified pairs are few and made distinct.
     return joined.where(ordered).where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
 
 

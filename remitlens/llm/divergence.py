@@ -8,8 +8,8 @@ builds a minimal perfect hash (hash and displace: buckets by size, one pilot eac
 its slot, so that a look-up verifies the key it lands on.  The shards are broadcast in rounds whose measured size stays
 under ``BROADCAST_BYTES``; more kept terms only mean more rounds, never a larger broadcast.
 
-Pass 2, recount: each task counts the terms of its documents by (lang, source), looks each distinct term up once, and emits
-(lang, source, slot, count) for the kept ones; a partial aggregate adds them.  A slot is ``shard << 32 | place``: dense within
+Pass 2, recount: each task counts the terms of its documents by (lang, source), looks each distinct term up once, adds up the
+kept ones over its slices, and emits (lang, source, slot, count); a partial aggregate adds them.  A slot is ``shard << 32 | place``: dense within
 its shard, so that the counts of a group are an array over slots.
 
 The scores are exact integer arithmetic.  Part ``term`` is Spark functions over the non-zero counts.  Part ``pair`` needs f
@@ -38,11 +38,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.llm.support import saved, ship, slices
+from remitlens.llm.support import LOWER_ASCII, saved, ship, slices, text_bytes
 
 #: Fixed values of the contract: the term pattern, the least document count, the scale of p and the term ranks reported.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
@@ -55,8 +54,8 @@ SEED = 0x5EED
 #: Pilots tried at once by a bucket.
 TRIES = 64
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TERM = re.compile(TERM)
+#: Bytes of UTF-8 that are part of a term: those that ``TERM`` does not exclude, and all of code points beyond ASCII.
+IN_TERM = np.array([b > 127 or re.fullmatch(TERM, chr(b)) is not None for b in range(256)])
 _MASK = (1 << 32) - 1
 _MASK64 = (1 << 64) - 1
 #: Constants of the place mix (a 64-bit finaliser) and the pilot's spread.
@@ -88,10 +87,13 @@ def _place(h: int, pilot: int, m: int) -> int:
 
 def _places(low: np.ndarray, pilots: np.ndarray, m: int) -> np.ndarray:
     """``_place`` of every key (rows, low 64 hash bits as uint64) under every pilot (columns)."""
-    x = low[:, None] ^ (pilots.astype(np.uint64) * np.uint64(_GOLDEN))[None, :]
+    return _mixed(low[:, None] ^ (pilots.astype(np.uint64) * np.uint64(_GOLDEN))[None, :], np.uint64(m))
+
+
+def _mixed(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX1)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX2)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(m)).astype(np.int64)
+    return ((x ^ (x >> np.uint64(32))) % m).astype(np.int64)
 
 
 def build_shard(keys: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -147,62 +149,126 @@ class Lookup:
         place = _place(h, int(pilots[((h >> 64) & _MASK) % len(pilots)]), m)
         return (shard << 32) | place if by_slot[place] == key else -1
 
+    def slots(self, keys: list[bytes]) -> np.ndarray:
+        """``slot`` of every key."""
+        if not hasattr(self, "flat"):
+            held = [self.tables.get(k, (np.zeros(0, np.int64), [])) for k in range(self.shards)]
+            pilots, sizes = (np.array([len(t[i]) for t in held], np.int64) for i in (0, 1))
+            self.flat = pilots, np.cumsum(pilots) - pilots, np.concatenate([t[0] for t in held]), sizes, np.cumsum(sizes) - sizes, [k for t in held for k in t[1]]
+        buckets, first_pilot, pilots, sizes, first_key, by_slot = self.flat
+        high, low = np.frombuffer(b"".join(xxhash.xxh3_128_digest(k, seed=SEED) for k in keys), ">u8").astype(np.uint64).reshape(-1, 2).T
+        shard = ((high >> np.uint64(32)) % np.uint64(self.shards)).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        at = np.flatnonzero(sizes[shard])
+        shard = shard[at]
+        pilot = pilots[first_pilot[shard] + ((high[at] & np.uint64(_MASK)) % buckets[shard].astype(np.uint64)).astype(np.int64)]
+        place = _mixed(low[at] ^ (pilot.astype(np.uint64) * np.uint64(_GOLDEN)), sizes[shard].astype(np.uint64))
+        same = np.array([by_slot[i] == keys[j] for i, j in zip((first_key[shard] + place).tolist(), at.tolist())], bool)
+        out[at[same]] = (shard[same] << 32) | place[same]
+        return out
+
+
+def terms_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The terms of a slice of raw texts (null: none), and the row of each."""
+    data, starts = text_bytes(texts)
+    inside = IN_TERM[data]
+    # Every text ends in a line feed, so the edges alternate between the first byte of a term and the one after its last.
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    first, end = edges[0::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(end - first)]).astype(np.int64)
+    terms = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(LOWER_ASCII[data[inside]].tobytes()))
+    return np.searchsorted(starts, first, "right") - 1, terms
+
+
+def _distinct(keys: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (all below ``total``), ascending, and how often each occurs."""
+    if total > max(4 * len(keys), 1 << 16):
+        return np.unique(keys, return_counts=True)
+    counts = np.bincount(keys, minlength=1)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
+def _document_counts(batches):
+    """(lang, term, count): in how many documents of a slice each term occurs."""
+    for batch in batches:
+        for first, end in slices(batch.column("text")):
+            part = batch.slice(first, end - first)
+            row, terms = terms_of(part.column("text"))
+            coded, langs = terms.dictionary_encode(), part.column("lang").dictionary_encode()
+            width = max(1, len(coded.dictionary))
+            once = np.unique(row * width + np.asarray(coded.indices, np.int64))
+            lang = np.asarray(langs.indices, np.int64)[once // width]
+            keys, counts = _distinct(lang * width + once % width, len(langs.dictionary) * width)
+            yield pa.RecordBatch.from_arrays(
+                [langs.dictionary.take(pa.array(keys // width)), coded.dictionary.take(pa.array(keys % width)).cast(pa.string()), pa.array(counts, pa.int64())],
+                names=["lang", "term", "count"],
+            )
+
 
-def _recount(lookup_value, flush: int = 1 << 18):
-    """(lang, source, slot, count) of the kept terms of a task's documents; at most ``flush`` rows and as many looked-up keys
-    are held at once."""
+def _recount(lookup_value, flush: int = 1 << 20, cached: int = 1 << 19):
+    """(lang, source, slot, count) of the kept terms of a task's documents; about ``flush`` to
+    twice as many rows and ``cached`` looked-up keys are held at once."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slot", pa.int64()), ("count", pa.int64())])
 
     def run(batches):
-        import pyarrow.compute as pc
-
         lookup = lookup_value.value
-        slots: dict = {}
-        langs, sources, found, numbers = [], [], [], []
-
-        def out():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(found, pa.int64()), pa.array(numbers, pa.int64())],
-                schema=schema,
-            )
-            for rows in (langs, sources, found, numbers):
-                rows.clear()
-            return batch
+        slots: dict[str, dict[str, int]] = {}
+        groups: dict[tuple[str, str], int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def merged() -> tuple[np.ndarray, ...]:
+            group, slot, count = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((slot, group))
+            group, slot, count = group[order], slot[order], count[order]
+            new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (slot[1:] != slot[:-1])]))
+            return group[new], slot[new], np.add.reduceat(count, new)
+
+        def out() -> pa.RecordBatch:
+            group, slot, count = merged()
+            names = pa.array([lang for lang, _ in groups], pa.string()), pa.array([source for _, source in groups], pa.string())
+            return pa.RecordBatch.from_arrays([*(n.take(pa.array(group)) for n in names), pa.array(slot), pa.array(count)], schema=schema)
 
         for batch in batches:
             # A batch is read in slices of about SLICE_BYTES of text, so a task holds the terms of one slice at a time.
             for first, end in slices(batch.column("text")):
                 part = batch.slice(first, end - first)
-                # Terms are the pieces between separator runs (empty pieces at the edges dropped), counted per (group,
-                # term) by Arrow, a group being the row's (lang, source) as one integer; only the distinct keys of the
-                # slice reach Python, each (lang, term) looked up once a task.
-                langs_of = pc.dictionary_encode(part.column("lang"))
-                sources_of = pc.dictionary_encode(part.column("source"))
-                group = np.asarray(langs_of.indices, np.int64) * len(sources_of.dictionary) + np.asarray(sources_of.indices, np.int64)
-                pieces = pc.split_pattern_regex(part.column("text"), pattern=SEPARATORS)
-                parents = np.asarray(pieces.value_parent_indices(), np.int64)
-                terms = pieces.flatten()
-                real = np.asarray(pc.greater(pc.binary_length(terms), 0), bool)
-                table = pa.table({"group": pa.array(group[parents[real]]), "term": terms.filter(pa.array(real))})
-                grouped = table.group_by(["group", "term"], use_threads=False).aggregate([([], "count_all")]).to_pydict()
-                lang_names, source_names = langs_of.dictionary.to_pylist(), sources_of.dictionary.to_pylist()
-                width = len(source_names)
-                for code, term, n in zip(grouped["group"], grouped["term"], grouped["count_all"]):
-                    lang, source = lang_names[code // width], source_names[code % width]
-                    key = (lang, term)
-                    slot = slots.get(key)
-                    if slot is None:
-                        slot = slots[key] = lookup.slot(key_bytes(lang, term))
-                    if slot >= 0:
-                        langs.append(lang)
-                        sources.append(source)
-                        found.append(slot)
-                        numbers.append(n)
-                if len(found) >= flush:
-                    yield out()
-            if len(slots) >= flush:
-                slots = {}
-        yield out()
+                row, terms = terms_of(part.column("text"))
+                # Counted per (group, term), a group being the row's (lang, source) as one integer; only the distinct terms
+                # of the slice reach Python, each (lang, term) looked up once a task.
+                coded = terms.dictionary_encode()
+                langs, sources = (part.column(c).dictionary_encode() for c in ("lang", "source"))
+                lang_names, source_names = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
+                group = np.asarray(langs.indices, np.int64) * len(source_names) + np.asarray(sources.indices, np.int64)
+                width = max(1, len(coded.dictionary))
+                keys, counts = _distinct(group[row] * width + np.asarray(coded.indices, np.int64), len(lang_names) * len(source_names) * width)
+                group, code = keys // width, keys % width
+                words = coded.dictionary.to_numpy(zero_copy_only=False)
+                slot = np.full(len(keys), -1, np.int64)
+                for k, lang in enumerate(lang_names):
+                    at = np.flatnonzero(group // len(source_names) == k)
+                    mine, inverse = np.unique(code[at], return_inverse=True)
+                    known = slots.setdefault(lang, {})
+                    terms_here = words[mine].tolist()
+                    new = [term for term in terms_here if term not in known]
+                    if new:
+                        head = key_bytes(lang, "")
+                        known.update(zip(new, lookup.slots([head + term.encode() for term in new]).tolist()))
+                    slot[at] = np.array([known[term] for term in terms_here], np.int64)[inverse]
+                kept = slot >= 0
+                number = np.zeros(len(lang_names) * len(source_names), np.int64)
+                for g in np.unique(group[kept]).tolist():
+                    number[g] = groups.setdefault((lang_names[g // len(source_names)], source_names[g % len(source_names)]), len(groups))
+                held.append((number[group[kept]], slot[kept], counts[kept]))
+                if sum(len(c) for _, _, c in held) >= 2 * flush:
+                    held = [merged()]
+                    if len(held[0][0]) >= flush:
+                        yield out()
+                        held, groups = [], {}
+                if sum(map(len, slots.values())) >= cached:
+                    slots = {}
+        if held:
+            yield out()
 
     return run
 
@@ -237,20 +303,15 @@ def _built(frame):
 
 
 def normalised(docs: DataFrame) -> DataFrame:
-    """lang, source and the lower-cased text, nulls read as ''."""
-    return docs.select(
-        F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER).alias("text"),
-    )
+    """lang, source and text, nulls read as ''."""
+    return docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
 
 
 def kept_terms(docs: DataFrame) -> DataFrame:
     """(lang, term) of the terms in at least ``LEAST_DOCS`` documents of their lang: pass 1."""
-    # Splitting at runs of the complement gives the terms, and an empty string at an edge or for a text without terms.
-    parts = F.array_distinct(F.split("text", F.lit(SEPARATORS)))
-    terms = docs.select("lang", F.explode(F.array_remove(parts, "")).alias("term"))
-    return terms.groupBy("lang", "term").count().where(F.col("count") >= LEAST_DOCS).select("lang", "term")
+    ship(docs.sparkSession)
+    terms = docs.select("lang", "text").mapInArrow(_document_counts, "lang string, term string, count long")
+    return terms.groupBy("lang", "term").agg(F.sum("count").alias("count")).where(F.col("count") >= LEAST_DOCS).select("lang", "term")
 
 
 def perfect_hashes(kept: DataFrame) -> tuple[int, DataFrame]:

@@ -49,6 +49,9 @@ def test_perfect_hash_is_a_bijection_and_verifies():
     look = divergence.Lookup(1, {0: (pilots, by_slot)})
     assert [look.slot(k) for k in keys] == [by_slot.index(k) for k in keys]
     assert look.slot(divergence.key_bytes("en", "missing")) == -1
+    tables = {k: divergence.build_shard([x for x in keys if divergence.shard_of(divergence._hash(x), 3) == k]) for k in (0, 2)}
+    several, asked = divergence.Lookup(3, tables), keys + [divergence.key_bytes("de", f"w{i}") for i in range(99)]
+    assert several.slots(asked).tolist() == [several.slot(k) for k in asked]
     assert divergence.key_bytes("a", "bc") != divergence.key_bytes("ab", "c")
 
 
@@ -65,6 +68,31 @@ def test_divergence_equals_sql(spark):
     assert not any(r[0] == "xx" for r in got)
 
 
+def test_recount_adds_up_the_slices_of_a_task(spark, monkeypatch):
+    import pyarrow as pa
+
+    import remitlens.llm.support as support
+
+    texts = ["Éa b, B", "b\x00c b", None, "", "é b"] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 200), pa.array(["s", "t"] * 100), pa.array(texts)], names=["lang", "source", "text"])
+    pilots, by_slot = divergence.build_shard([divergence.key_bytes("en", t) for t in ("b", "Éa", "é")])
+    lookup = type("Value", (), {"value": divergence.Lookup(1, {0: (pilots, by_slot)})})
+    monkeypatch.setattr(support.slices, "__defaults__", (64,))
+    for flush in (1 << 18, 2):
+        rows = [tuple(r.values()) for out in divergence._recount(lookup, flush)([batch]) for r in out.to_pylist()]
+        got = collections.Counter()
+        for lang, source, slot, n in rows:
+            got[source, by_slot[slot]] += n
+        want = collections.Counter((s, divergence.key_bytes("en", t)) for k, text in enumerate(texts) for s in ["st"[k % 2]] for t in re.findall(divergence.TERM, (text or "").replace("B", "b")) if t in ("b", "Éa", "é"))
+        assert got == want
+        if flush > 2:
+            assert len(rows) == len(want)
+    once = collections.Counter()
+    for out in divergence._document_counts([batch.select(["lang", "text"])]):
+        once.update({(r["lang"], r["term"]): r["count"] for r in out.to_pylist()})
+    assert once == {("en", "b"): 120, ("en", "Éa"): 40, ("en", "c"): 40, ("en", "é"): 40}
+
+
 def test_divergence_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert divergence.divergences(docs).count() == 0
@@ -142,6 +170,16 @@ def test_signatures_find_every_pair_within_two():
         assert set(variants.signatures(a)) & set(variants.signatures(b))
 
 
+def test_few_words_of_the_same_letters_are_compared(spark):
+    rnd = random.Random(4)
+    words = sorted({"".join(rnd.sample("abcdefghij", 10)) for _ in range(300)})
+    words += [w[:i] + w[i + 1 :] for w in words[:40] for i in (0, 4, 5, 9)]
+    left, right = variants.joinable(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert left.join(right, "key").where("a <> b").select("a", "b").distinct().count() < 3000
+    got = {(r.a, r.b) for r in variants.near_pairs(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+    assert got == {(a, b) for a in words for b in words if (len(a), a) < (len(b), b) and one_edit(a, b)} and len(got) >= 160
+
+
 def test_variants_of_nothing(spark):
     assert variants.variants(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -45,8 +45,9 @@ SKETCH_OFF = 28
 DEVIATIONS = 4.2
 #: Unrelated sets share a token with about this chance; it sets the first depth.
 UNRELATED = 0.05
-#: Comparisons for each class of a node that are made at once.
-WIDTH = 64
+#: Comparisons for each class of a node that are made as pairs; nodes with more are compared in blocks, where no pair is a row and a set
+#: goes to a task once for each block it meets instead of once for each class.
+WIDTH = 8
 #: Classes and set items of a block that is compared at once on full sets.
 BLOCK, BLOCK_ITEMS = 1024, 1 << 18
 

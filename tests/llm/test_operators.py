@@ -218,6 +218,30 @@ def test_blocks_of_a_large_node(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == {k: c for k, (_, c) in want.items()}
 
 
+def test_classes_just_under_the_threshold_are_not_all_paired(spark, monkeypatch):
+    rnd = random.Random(9)
+    base = [f"b{k}" for k in range(300)]
+
+    def changed(name, n):
+        words = list(base)
+        for k in rnd.sample(range(300), n):
+            words[k] = f"{name}x{k}"
+        return " ".join(words)
+
+    rows = [(k, changed(f"n{k}", 3)) for k in range(80)] + [(k, changed(f"f{k}", 34)) for k in range(80, 125)]
+    made, pairs = [], chosenpath._pairs
+
+    def counted(x, y, threshold):
+        found = pairs(x, y, threshold).cache()
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(chosenpath, "_pairs", counted)
+    got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: 0 if k < 80 else k for k, _ in rows}
+    assert made[1] < 800, made
+
+
 def test_spots(spark, docs, nothing):
     rows = sorted(enumerate(texts()), reverse=True)
     got = by_id(spots.edited_likeness(docs))

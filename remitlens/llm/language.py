@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from remitlens.llm.bpe import LETTER, point_classes
-from remitlens.llm.support import ship, slices
+from remitlens.llm.support import beside_text, ship, slices
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -43,7 +43,8 @@ class Profiles:
         self.letter = point_classes() == LETTER
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
-        self.vectors = np.zeros((1024, dimensions), np.float32)
+        # One byte a dimension: 30,000 n-grams are 31 MB in each worker.
+        self.vectors = np.zeros((1024, dimensions), np.int8)
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -101,7 +102,7 @@ class Profiles:
         for k in range(len(texts)):
             lo, hi = borders[k], borders[k + 1]
             if hi > lo:
-                out[k] = times[lo:hi] @ self.vectors[rows[cells[lo:hi] - k * width]]
+                out[k] = times[lo:hi] @ self.vectors[rows[cells[lo:hi] - k * width]].astype(np.float32)
                 counts[k] = times[lo:hi].sum()
         return out, counts
 
@@ -155,14 +156,15 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = D
     """
     ship(docs.sparkSession)
     carry, names = [*carry], [*learned]
+    sent, at, begin = beside_text(docs, carry)
     languages = np.array([learned[k] for k in names], np.float32).reshape(len(names), dimensions)
 
     def run(batches):
         made = profiles(dimensions, gram)
         for batch in batches:
-            for first, end in slices(batch.column(0)):
+            for first, end in slices(batch.column(at)):
                 part = batch.slice(first, end - first)
-                vectors, counts = made.vectors_of(part.column(0).to_pylist())
+                vectors, counts = made.vectors_of(part.column(at).to_pylist())
                 if names:
                     cosines = unit(vectors) @ languages.T
                     best = cosines.argmax(1)
@@ -171,10 +173,10 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = D
                     score[counts == 0] = 0
                 else:
                     lang, score = [UNKNOWN] * len(counts), np.zeros(len(counts))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(lang, pa.string()), pa.array(score)], [*carry, prefix + "lang_pred", prefix + "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[begin:], pa.array(lang, pa.string()), pa.array(score)], [*carry, prefix + "lang_pred", prefix + "score"])
 
     schema = StructType([*docs.select(*carry).schema.fields, StructField(prefix + "lang_pred", StringType()), StructField(prefix + "score", DoubleType())])
-    return docs.select(F.col("text").alias("_text"), *carry).mapInArrow(run, schema)
+    return sent.mapInArrow(run, schema)
 
 
 def is_held_out(doc_id):

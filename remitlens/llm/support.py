@@ -6,14 +6,20 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at once.  One longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch that a write sends to Python.
+BATCH_BYTES = 8 << 20
+
 #: The code points that separate words in every contract: space and tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -35,10 +41,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Writes inside send Arrow batches of ``BATCH_BYTES`` to Python; the session's own limit comes back afterwards.
+
+    Spark's 64 MB of text are held twice in the JVM, as a buffer doubles, and again in the worker, for each task.
+    """
+    before = spark.conf.get(BATCH_LIMIT)
+    spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_LIMIT, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again: later steps never recompute what stands before."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,6 +90,13 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext._llm_shipped = True
 
 
+def beside_text(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, int, int]:
+    """The columns ``carry`` of ``docs`` and its text, where the text stands, and where ``carry`` begins.  A text that is carried goes once."""
+    if "text" in carry:
+        return docs.select(*carry), carry.index("text"), 0
+    return docs.select(F.col("text").alias("_text"), *carry), 0, 1
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """Yield (first row, end row) of ``column`` so that each slice holds about ``limit`` bytes of text."""
     n = len(column)

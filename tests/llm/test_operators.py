@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from remitlens.llm import bpe, chosenpath, language, lines, packing, repetition, sharding, spots, urls, warc
 from remitlens.llm.queries import URL_RULES, word_vocabulary
-from remitlens.llm.support import scratch, slices
+from remitlens.llm.support import saved, scratch, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -425,3 +425,33 @@ def test_slices_cover_all_rows():
     for limit in (1, 10, 1000):
         parts = list(slices(column, limit))
         assert [k for a, b in parts for k in range(a, b)] == list(range(len(column)))
+
+
+def test_a_carried_text_goes_to_python_once(spark):
+    rows = spark.createDataFrame([(1, "the cat sat", "en"), (2, None, "en")], "doc_id long, text string, lang string")
+    for kept in (language.in_known_language(rows), repetition.of_good_quality(rows)):
+        assert "AS _text" not in kept._jdf.queryExecution().analyzed().toString()
+    alone = {r["doc_id"]: r["_l_lang_pred"] for r in language.predict(rows, language.learn(rows), prefix="_l_").collect()}
+    beside = {r["doc_id"]: r["_l_lang_pred"] for r in language.predict(rows, language.learn(rows), carry=["lang", "text", "doc_id"], prefix="_l_").collect()}
+    assert alone == beside == {1: "en", 2: "und"}
+    counts = [repetition.repetition(rows, carry=c, prefix="q_").select("doc_id", "q_n_words").collect() for c in (["doc_id"], ["lang", "text", "doc_id"])]
+    assert sorted(counts[0]) == sorted(counts[1])
+
+
+def test_language_vectors_are_bytes():
+    made = language.Profiles(64, 3)
+    made.vectors_of(["some words of a text"])
+    assert made.vectors.itemsize == 1 and made.rows
+
+
+def test_saved_sends_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('abcdefghij', 1000) AS text")
+    rows = saved(texts.mapInArrow(sizes, "n long, size long"), "sizes").collect()
+    assert sum(r["n"] for r in rows) == 3000 and max(r["size"] for r in rows) < 10 << 20
+    assert spark.conf.get(limit) == before

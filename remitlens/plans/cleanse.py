@@ -86,23 +86,24 @@ def reject_reason(as_of: dt.date | str) -> Column:
 def label_rows(
     normalized: DataFrame, members: DataFrame, providers: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    """Decide the fate of every raw row of one file in a single pass.
+    """Decide the fate of every raw row of one file.
 
-    Keys of the masters are read as the raw ones are, and repeated ones count once.
+    Keys of the masters are read as the raw ones are, and repeated ones count once.  The rows do not meet the masters: their
+    distinct keys do, and the keys that no master has, mostly few, are written so that Spark knows their size before it
+    decides how the rows meet them.
     """
 
-    def known(master: DataFrame, key: str, flag: str) -> DataFrame:
-        return master.select(clean_id(F.col(key)).alias(key)).distinct().withColumn(flag, F.lit(True))
-
-    known_members = known(members, "member_id", "member_known")
-    known_providers = known(providers, "provider_id", "provider_known")
-    return (
-        mark_latest(normalized, "claim_id", "raw_row_num")
-        .join(known_members, "member_id", "left")
-        .join(known_providers, "provider_id", "left")
-        .withColumn("reject_reason", reject_reason(as_of))
-        .drop("member_known", "provider_known")
-    )
+    def known(rows: DataFrame, master: DataFrame, key: str, flag: str) -> DataFrame:
+        held = master.select(clean_id(F.col(key)).alias(key))
+        keys = normalized.select(key).filter(F.col(key).isNotNull()).distinct()
+        unknown = materialise(keys.join(held, key, "left_anti")).withColumn("_unknown", F.lit(True))
+        found = F.when(F.col(key).isNotNull() & F.col("_unknown").isNull(), F.lit(True))
+        return rows.join(unknown, key, "left").withColumn(flag, found).drop("_unknown")
+
+    rows = mark_latest(normalized, "claim_id", "raw_row_num")
+    rows = known(rows, members, "member_id", "member_known")
+    rows = known(rows, providers, "provider_id", "provider_known")
+    return rows.withColumn("reject_reason", reject_reason(as_of)).drop("member_known", "provider_known")
 
 
 def rejected_rows(labelled: DataFrame) -> DataFrame:

@@ -148,3 +148,21 @@ def test_master_keys_are_read_like_raw_ones_and_count_once(spark):
     lower = providers(spark).withColumn("provider_id", F.lower("provider_id"))
     df = label_rows(normalize(raw(spark, {})), known, lower, AS_OF)
     assert [r[0] for r in rows(df, "reject_reason")] == [None]
+
+
+def test_rows_do_not_meet_the_masters(spark):
+    """Masters above the broadcast limit: only the unknown keys, measured and few, go to the rows."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    master = members(spark).select("member_id").unionByName(spark.range(5000).select(F.concat(F.lit("X"), "id").alias("member_id")))
+    rows_in = normalize(raw(spark, {}, {"raw_row_num": 2, "claim_id": "C2", "member_id": "M9"}, {"raw_row_num": 3, "claim_id": "C3", "member_id": None}))
+    spark.conf.set(limit, "20000")
+    try:
+        labelled = label_rows(rows_in, master, providers(spark), AS_OF)
+        plan = labelled._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line and "member_id" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins), plan
+        got = rows(labelled, "raw_row_num", "reject_reason")
+    finally:
+        spark.conf.set(limit, before)
+    assert got == [(1, None), (2, "Member not found in eligibility"), (3, "Missing member identifier")]

@@ -128,13 +128,14 @@ def gather_facts(
     fees: DataFrame,
 ) -> DataFrame:
     """Every claim with all joined attributes; missing ones are NULL, no claim is lost."""
-    # Stored amounts are re-derived, so only what the rules read is carried.
-    enriched = asof_rate(enrich(claims, members, providers, benefits, how="left"), fees)
-    numbered = enriched.join(resubmitted_groups(claims), SUBMISSION_KEY, "left").withColumn(
+    # Repeated submissions are marked first, while the rows do not carry the joined attributes yet.
+    numbered = claims.join(resubmitted_groups(claims), SUBMISSION_KEY, "left").withColumn(
         "is_resubmission",
         F.coalesce(F.col("claim_id") > F.col("first_claim_id"), F.lit(False)),
     ).drop("first_claim_id")
-    return flag_covered(numbered, auths, dates=claims)
+    # Stored amounts are re-derived, so only what the rules read is carried.
+    enriched = asof_rate(enrich(numbered, members, providers, benefits, how="left"), fees)
+    return flag_covered(enriched, auths, dates=claims)
 
 
 def apply_config(facts: DataFrame, config: DataFrame, prefix: str = "") -> DataFrame:

@@ -82,8 +82,10 @@ def rule_sequence_violations(trace: DataFrame, denials: DataFrame, rules: DataFr
         "denying_rule_id",
     )
     c = F.col
+    # No SKIP breaks the sequence, so the rows that are one stay out of the join.
     return (
-        trace.join(step, "rule_id")
+        trace.filter(c("rule_result") != "SKIP")
+        .join(step, "rule_id")
         .join(denied, "claim_id")
         .filter(
             ((c("rule_sequence") > c("denied_at")) & (c("rule_result") != "SKIP"))

@@ -3,6 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from remitlens.plans import adjudicate as adj
+from remitlens.plans import quality
+from samplemap import queries
 from remitlens.operators.merge import merge_claims
 from remitlens.plans.cleanse import cleanse_and_load
 from remitlens.schemas import SCHEMAS
@@ -105,3 +108,34 @@ def test_written_stages_use_the_method_limit_and_give_it_back(spark):
         assert spark.conf.get(METHOD_LIMIT) == "65535"
     finally:
         spark.conf.set(METHOD_LIMIT, SETTINGS[METHOD_LIMIT])
+
+
+def test_repeated_submissions_are_marked_before_the_joins(spark, sample):
+    r = Run(spark, sample)
+    text = plan(adj.gather_facts(*r.engine_inputs[:6]))
+    joins = [line for line in text.splitlines() if "Join LeftOuter" in line]
+    repeated = [k for k, line in enumerate(joins) if "procedure_code" in line and "provider_id" in line]
+    member = [k for k, line in enumerate(joins) if "member_id" in line and "provider" not in line and "block" not in line]
+    assert repeated and member and min(repeated) > max(member), joins
+
+
+def test_skipped_rules_stay_out_of_the_sequence_check(spark):
+    trace = spark.createDataFrame([("C1", "R-010", "FAIL"), ("C1", "R-020", "SKIP"), ("C1", "R-030", "PASS"), ("C2", "R-010", "PASS")], "claim_id string, rule_id string, rule_result string")
+    denials = spark.createDataFrame([("C1", "R-010")], "claim_id string, rule_id string")
+    rules = spark.createDataFrame([("R-010", 10), ("R-020", 20), ("R-030", 30)], "rule_id string, rule_sequence int")
+    found = quality.rule_sequence_violations(trace, denials, rules)
+    assert [(r.claim_id, r.rule_id) for r in found.collect()] == [("C1", "R-030")]
+    filters = [line for line in found._jdf.queryExecution().analyzed().toString().splitlines() if "SKIP" in line]
+    assert len(filters) == 2 and "= SKIP" in filters[-1] and "FAIL" not in filters[-1]
+
+
+def test_denied_without_denial_writes_the_decisions_alone(spark, sample, monkeypatch):
+    written = []
+
+    def noted(df):
+        written.append(df.columns)
+        return materialise(df)
+
+    monkeypatch.setattr(queries, "materialise", noted)
+    queries.QUERIES["denied_without_denial"](spark, sample)
+    assert len(written) == 2 and "billed_amount" not in written[-1] and "adjudication_status" in written[-1]

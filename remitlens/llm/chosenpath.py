@@ -29,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.llm.support import LOWER_ASCII, Hasher, mix, saved, ship, slices, text_bytes, word_spans
@@ -50,6 +50,8 @@ UNRELATED = 0.05
 WIDTH = 8
 #: Classes and set items of a block that is compared at once on full sets.
 BLOCK, BLOCK_ITEMS = 1024, 1 << 18
+#: Bits for each id in the bitmap that finds the documents whose sets are needed, and bits of a bitmap at most (8 MB).
+BITS_EACH, MOST_BITS = 256, 1 << 26
 
 _RNG = np.random.Generator(np.random.PCG64(5))
 _LOW, _HIGH, _ADD = (_RNG.integers(1, 1 << 32, TOKENS, dtype=np.uint64).astype(np.uint32) for _ in range(3))
@@ -113,7 +115,10 @@ def tokens_of(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, set name (k1, k2), sketch, and minwise tokens as bytes (null for empty sets)."""
+    """Per row of ``docs``: doc_id, n_shingles, set name (k1, k2), sketch, and minwise tokens, a byte each (null for empty sets).
+
+    A byte of the mixed token is enough: equal tokens stay equal, and others agree by chance in one of 256.
+    """
     ship(docs.sparkSession)
 
     def run(batches):
@@ -127,7 +132,8 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 if full.any():
                     found = tokens_of(sets, np.concatenate([begins[:-1][full], begins[-1:]]))
                     # The lowest bits of tokens hang together, as the multipliers are odd; mixed ones do not.
-                    sketches[full] = np.packbits((mix(found.astype(np.uint64)) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
+                    found = (mix(found.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                    sketches[full] = np.packbits(found >> 7, axis=1).view(np.int64)
                     for at, row in zip(np.flatnonzero(full).tolist(), found, strict=True):
                         tokens[at] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -176,23 +182,22 @@ def _children(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray, threshold
 
 
 def branched(rows: DataFrame, levels: int, threshold: float) -> DataFrame:
-    """Nodes of classes after ``levels`` levels from the roots of all trees."""
+    """Nodes (node, cid) of classes after ``levels`` levels from the roots of all trees."""
     ship(rows.sparkSession)
-    keep, roots = ["cid", "n", "sketch", "sketch2"], trees(levels, threshold)
+    roots = trees(levels, threshold)
 
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                tokens = np.frombuffer(b"".join(part.column(4).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
+                tokens = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, TOKENS).astype(np.uint64)
                 owner = np.repeat(np.arange(len(part)), roots)
                 node = np.tile(mix(np.arange(1, roots + 1, dtype=np.uint64)), len(part))
                 for _ in range(levels):
                     node, owner = _children(node, owner, tokens, threshold)
-                index = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(part.column(k).take(index) for k in range(4))], ["node", *keep])
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), part.column(0).take(pa.array(owner))], ["node", "cid"])
 
-    return rows.select(*keep, "tokens").mapInArrow(run, "node long, cid long, n long, sketch long, sketch2 long")
+    return rows.select("cid", "tokens").mapInArrow(run, "node long, cid long")
 
 
 def _plausible(threshold: float):
@@ -287,7 +292,7 @@ class Join:
 
         def compare(batches):
             for batch in batches:
-                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, TOKENS) for c in batch.columns[2:4])
+                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, TOKENS) for c in batch.columns[2:4])
                 few = batch.column(4).to_numpy() <= FEW
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(few | ((x == y).mean(1) >= least)))
 
@@ -295,8 +300,21 @@ class Join:
         both = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "tokens_a", "tokens_b", F.least("n_a", "n_b").alias("n"))
         return both.mapInArrow(compare, "a long, b long")
 
-    def sets(self, cids: DataFrame) -> DataFrame:
-        """The full sets (cid, items) of the classes ``cids``."""
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """The texts of all documents with an id of ``ids`` (rep) and of a few others.
+
+        The ids are marks in a bitmap of bounded size, so that no text is shuffled; beyond that size more others come along.
+        """
+        bits = min(MOST_BITS, max(1, ids.count()) * BITS_EACH)
+        place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+        marks = ids.select(F.bitmap_bucket_number(place("rep")).alias("bucket"), F.bitmap_bit_position(place("rep")).alias("at")).repartition("bucket")
+        marks = marks.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits"))
+        docs = self.docs.withColumn("bucket", F.bitmap_bucket_number(place("doc_id"))).withColumn("at", F.bitmap_bit_position(place("doc_id")))
+        marked = F.expr("getbit(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int), cast(at % 8 as int)) = 1")
+        return docs.join(F.broadcast(marks), "bucket").where(marked).select("text")
+
+    def sets(self, cids: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The places (cid, place) of the classes ``cids`` in a table of full sets, and that table (place, items), which may hold others."""
         words = self.words
         wanted = saved(cids.join(self.classes, "cid"), "wanted")
 
@@ -308,16 +326,16 @@ class Join:
                     data, b = sets.tobytes(), (begins * 8).tolist()
                     yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array([data[i:j] for i, j in zip(b[:-1], b[1:], strict=True)], pa.binary())], ["k1", "k2", "items"])
 
-        ids = wanted.select(F.col("rep").alias("doc_id"))
-        texts = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
-        found = texts.mapInArrow(sets_of, "k1 long, k2 long, items binary").join(wanted.select("k1", "k2", "cid"), ["k1", "k2"])
-        return saved(found.select("cid", "items").dropDuplicates(["cid"]), "sets")
+        found = self.texts(wanted.select("rep")).mapInArrow(sets_of, "k1 long, k2 long, items binary")
+        found = saved(found.withColumn("place", F.monotonically_increasing_id()), "sets")
+        places = found.groupBy("k1", "k2").agg(F.min("place").alias("place")).join(wanted, ["k1", "k2"]).select("cid", "place")
+        return saved(places, "places"), found.select("place", "items")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among ``pairs`` (a, b), by their full sets."""
         percent = self.percent
         pairs = saved(self.likely(pairs), "likely")
-        sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct())
+        places, sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct())
 
         def compare(batches):
             for batch in batches:
@@ -329,8 +347,10 @@ class Join:
                     keep[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-        left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("items_a")), "a")
-        both = left.join(sets.select(F.col("cid").alias("b"), F.col("items").alias("items_b")), "b")
+        for c in "ab":
+            pairs = pairs.join(places.select(F.col("cid").alias(c), F.col("place").alias(f"at_{c}")), c)
+        left = pairs.join(sets.select(F.col("place").alias("at_a"), F.col("items").alias("items_a")), "at_a")
+        both = left.join(sets.select(F.col("place").alias("at_b"), F.col("items").alias("items_b")), "at_b")
         return saved(both.select("a", "b", "items_a", "items_b").mapInArrow(compare, "a long, b long"), "links")
 
     def labelled(self, nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -338,14 +358,13 @@ class Join:
         return nodes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
     def exact(self, rows: DataFrame) -> DataFrame:
-        """Links between components among the classes (node, cid, n, comp) of large nodes, all of them up to those that others imply.
+        """Links between components among the classes (node, first, cid, n, comp) of large nodes, all of them up to those that others imply.
 
         No screen is used: a node's classes are cut into blocks of similar set sizes, and blocks are compared on the full sets.
         """
         spark, percent = self.docs.sparkSession, self.percent
         # Nodes that overlap are worked as one where that is no more to compare.
-        first = rows.groupBy("node").agg(F.min("cid").alias("a"))
-        edges = rows.join(first, "node").select("a", F.col("cid").alias("b")).where("a <> b").distinct()
+        edges = rows.select(F.col("first").alias("a"), F.col("cid").alias("b")).where("a <> b").distinct()
         groups = contracted(spark.createDataFrame([], "cid long, comp long"), edges).select("cid", F.col("comp").alias("grp"))
         rows = saved(rows.join(groups, "cid").select("node", "grp", "cid", "n", "comp"), "large")
         effort = F.sum(F.col("size") * (F.col("size") - F.col("largest")))
@@ -365,7 +384,8 @@ class Join:
         pairs = blocks.where("not inner").alias("x").join(blocks.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & once)
         pairs = saved(pairs.select(F.struct("x.*").alias("x"), F.struct("y.*").alias("y")).withColumn("pair", F.monotonically_increasing_id()), "block_pairs")
         sides = pairs.select("pair", F.lit(False).alias("right"), "x.*").unionByName(pairs.where("x <> y").select("pair", F.lit(True).alias("right"), "y.*"))
-        full = saved(rows.join(self.sets(rows.select("cid").distinct()), "cid"), "block_sets")
+        places, sets = self.sets(rows.select("cid").distinct())
+        full = saved(rows.join(places.join(sets, "place").select("cid", "items"), "cid"), "block_sets")
         both = full.join(sides, key).select("pair", "right", "cid", "comp", "items")
         ship(spark)
 
@@ -379,9 +399,9 @@ class Join:
         spark = self.docs.sparkSession
         n = max(1, self.tops.count())
         depth = max(2, int(np.ceil(np.log(n / 4 + 1) / np.log(1 / UNRELATED))))
-        nodes = branched(self.tops, depth, self.threshold)
-        shared = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("cid").alias("first")).where("size > 1")
-        nodes = saved(nodes.join(shared, "node"), "nodes")
+        node = Window.partitionBy("node")
+        nodes = branched(self.tops, depth, self.threshold).withColumn("size", F.count("*").over(node)).withColumn("first", F.min("cid").over(node))
+        nodes = saved(nodes.where("size > 1").drop("size").join(self.tops.drop("tokens"), "cid"), "nodes")
         own = nodes.withColumn("comp", F.col("cid"))
         # The smallest class of a node is ``a`` of its pairs.
         stars = saved(_pairs(own, own.where("cid = first"), self.threshold), "stars")
@@ -395,13 +415,12 @@ class Join:
         ends = [labels.select(F.col("cid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab"]
         apart = stars.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
         labels = contracted(labels, self.confirmed(saved(apart.select("a", "b"), "apart")))
-        nodes = nodes.drop("size", "first")
         rows = self.labelled(nodes, labels)
         rows = saved(rows.join(_parts(rows, "node").where("size > largest"), "node"), "mixed")
         small = F.col("size") - F.col("largest") <= WIDTH
         minor = rows.where(small & (F.col("comp") != F.col("major")))
         labels = contracted(labels, self.confirmed(_pairs(minor, rows.where(small), self.threshold)))
-        large = rows.where(~small).select("node", "cid", "n")
+        large = rows.where(~small).select("node", "first", "cid", "n")
         if not large.isEmpty():
             labels = contracted(labels, self.exact(self.labelled(large, labels)))
         return labels

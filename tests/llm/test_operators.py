@@ -242,6 +242,42 @@ def test_classes_just_under_the_threshold_are_not_all_paired(spark, monkeypatch)
     assert made[1] < 800, made
 
 
+def test_no_text_is_shuffled_and_large_nodes_are_not_joined_with_themselves(spark, monkeypatch):
+    plans, merged = [], []
+    saved, contracted = chosenpath.saved, chosenpath.contracted
+
+    def seen(df, name):
+        if name == "sets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return saved(df, name)
+
+    def joined(labels, links):
+        merged.append(links._jdf.queryExecution().optimizedPlan().toString())
+        return contracted(labels, links)
+
+    monkeypatch.setattr(chosenpath, "saved", seen)
+    monkeypatch.setattr(chosenpath, "contracted", joined)
+    monkeypatch.setattr(chosenpath, "WIDTH", 2)
+    monkeypatch.setattr(chosenpath, "MOST_BITS", 64)  # nearly all ids share a mark
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(None if k == 7 else k, t) for k, t in dense_group(60, 15)]
+        got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = sorted((k, k // 2 * 2 if k < 30 else k) for k, _ in rows if k is not None)
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == want
+    assert [r.component_id for r in got if r.doc_id is None] == [6]
+    assert plans and not any("SortMergeJoin" in p for p in plans)
+    assert len(merged) > 3 and not any("Join" in p for p in merged)
+
+
+def test_tokens_take_a_byte_each(spark):
+    found = chosenpath.described(spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string"), 2)
+    assert {r.doc_id: r.tokens and len(r.tokens) for r in found.collect()} == {1: chosenpath.TOKENS, 2: None}
+
+
 def test_spots(spark, docs, nothing):
     rows = sorted(enumerate(texts()), reverse=True)
     got = by_id(spots.edited_likeness(docs))

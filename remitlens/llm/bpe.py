@@ -23,20 +23,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from remitlens.llm.support import ship, slices
+from remitlens.llm.support import SLICE_BYTES, ship, slices
 
 END = 256  # after the last byte of a word
 SUFFIX = "</w>"
 #: Chunks remembered by a worker at most; beyond it the table is emptied.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 32
 #: Words of at most so many symbols take their steps as rows of one array; longer ones are encoded one at a time.
 LONGEST_ROW = 48
 #: Compatible and incompatible pairs remembered at most.
 PAIRS = 2_000_000
-#: Ids decoded at once, and bytes of text whose new words are encoded together.
+#: Ids decoded at once, and bytes of text whose new words are encoded together: their chunks take ten times as much while they are strings.
 DECODED_AT_ONCE = 1 << 16
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: What Python's str.split() takes for a blank and the vocabulary's pattern does not.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 BLANK_POINTS = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -399,10 +399,11 @@ class WordBpe:
         """Ids of whole texts; null is empty.  Special tokens written in a text are their ids."""
         parts = [self._parts(t or "") for t in texts]
         chunks = set().union(*(c for p in parts for c in p if not isinstance(c, int)))
-        if len(self.known) + len(chunks) > REMEMBERED:
+        new = chunks.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-        if new := [c for c in chunks if c not in self.known]:
-            new.sort(key=len)
+            new = chunks
+        if new := sorted(new, key=len):
             self.learn(new)
         get, size = self.known.__getitem__, self.kind.itemsize
         out = [np.frombuffer(b"".join(x.to_bytes(size, "little") if isinstance(x, int) else b"".join(map(get, x)) for x in p), self.kind) for p in parts]
@@ -439,11 +440,11 @@ def loaded(path: str) -> WordBpe:
     return _loaded[path]
 
 
-def encoded_slices(batches, path: str):
+def encoded_slices(batches, path: str, limit: int = TOGETHER):
     """Yield (batch, first row, list of id arrays) for slices of Arrow batches of (doc_id, text)."""
     bpe = loaded(path)
     for batch in batches:
-        for first, end in slices(batch.column(1), TOGETHER):
+        for first, end in slices(batch.column(1), limit):
             yield batch, first, bpe.encode_all(batch.column(1).slice(first, end - first).to_pylist())
 
 
@@ -478,7 +479,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = loaded(path)
-        for batch, first, all_ids in encoded_slices(batches, path):
+        for batch, first, all_ids in encoded_slices(batches, path, SLICE_BYTES):
             hashes, decoded = [], []
             for ids in all_ids:
                 hashes.append(hashlib.sha256(ids.astype("<u4")).hexdigest())

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -242,6 +243,28 @@ def test_classes_just_under_the_threshold_are_not_all_paired(spark, monkeypatch)
     assert made[1] < 800, made
 
 
+def test_encoder_holds_little_besides_its_table(monkeypatch):
+    path = word_vocabulary()
+    encoder = bpe.loaded(path)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(["some words again " * 60_000] * 4)], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        found = [len(x) for _, _, ids in bpe.encoded_slices([batch], path) for x in ids]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == [180_000] * 4 and most < 48e6, most
+    # A table that has room for what is new is not emptied.
+    encoder.known.clear()
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    one = encoder.encode("some words again")
+    learned, learn = [], encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda chunks: (learned.append(chunks), learn(chunks)))
+    assert np.array_equal(encoder.encode("again some words"), np.roll(one, 1)) and not learned
+    encoder.encode("other words anew")
+    assert len(learned) == 1 and set(learned[0]) == set(encoder.known) == {"other", "words", "anew"}
+
+
 def test_no_text_is_shuffled_and_large_nodes_are_not_joined_with_themselves(spark, monkeypatch):
     plans, merged = [], []
     saved, contracted = chosenpath.saved, chosenpath.contracted

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from remitlens.llm.support import SLICE_BYTES, ship, slices
+from remitlens.llm.support import ship, slices
 
 END = 256  # after the last byte of a word
 SUFFIX = "</w>"
@@ -479,7 +479,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = loaded(path)
-        for batch, first, all_ids in encoded_slices(batches, path, SLICE_BYTES):
+        for batch, first, all_ids in encoded_slices(batches, path, TOGETHER // 2):
             hashes, decoded = [], []
             for ids in all_ids:
                 hashes.append(hashlib.sha256(ids.astype("<u4")).hexdigest())

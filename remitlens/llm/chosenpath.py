@@ -29,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from remitlens.llm.support import LOWER_ASCII, Hasher, mix, saved, ship, slices, text_bytes, word_spans
@@ -365,7 +365,7 @@ class Join:
         spark, percent = self.docs.sparkSession, self.percent
         # Nodes that overlap are worked as one where that is no more to compare.
         edges = rows.select(F.col("first").alias("a"), F.col("cid").alias("b")).where("a <> b").distinct()
-        groups = contracted(spark.createDataFrame([], "cid long, comp long"), edges).select("cid", F.col("comp").alias("grp"))
+        groups = contracted(unlabelled(spark), edges).select("cid", F.col("comp").alias("grp"))
         rows = saved(rows.join(groups, "cid").select("node", "grp", "cid", "n", "comp"), "large")
         effort = F.sum(F.col("size") * (F.col("size") - F.col("largest")))
         apart = _parts(rows, "node").join(rows.groupBy("node").agg(F.first("grp").alias("grp")), "node").groupBy("grp").agg(effort.alias("apart"))
@@ -411,7 +411,7 @@ class Join:
         if not twice.isEmpty():
             every = self.members.join(twice.select("doc_id", "a"), "doc_id").where("a < cid").select("a", F.col("cid").alias("b")).distinct()
             links = saved(links.unionByName(every), "links")
-        labels = contracted(spark.createDataFrame([], "cid long, comp long"), links)
+        labels = contracted(unlabelled(spark), links)
         ends = [labels.select(F.col("cid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab"]
         apart = stars.join(ends[0], "a", "left").join(ends[1], "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b"))
         labels = contracted(labels, self.confirmed(saved(apart.select("a", "b"), "apart")))
@@ -435,6 +435,11 @@ class Join:
         return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def unlabelled(spark: SparkSession) -> DataFrame:
+    """No labels (cid, comp).  An empty Python list would be read by Python workers of their own, which then stay in memory."""
+    return spark.range(0).select(F.col("id").alias("cid"), F.col("id").alias("comp"))
+
+
 def contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (cid, comp) after joining the components of the linked classes (a, b): each takes the smallest name among them."""
     renamed = lambda edges, names, key: edges.join(names.select(F.col("cid").alias(key), F.col("comp").alias(f"{key}_to")), key, "left").withColumn(key, F.coalesce(f"{key}_to", key)).drop(f"{key}_to")

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at once.  One longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of an Arrow batch that a write sends to Python.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 #: The code points that separate words in every contract: space and tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"

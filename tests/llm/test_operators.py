@@ -296,6 +296,19 @@ def test_no_text_is_shuffled_and_large_nodes_are_not_joined_with_themselves(spar
     assert len(merged) > 3 and not any("Join" in p for p in merged)
 
 
+def test_components_start_without_python_workers_of_their_own(spark, monkeypatch):
+    plans, contracted = [], chosenpath.contracted
+
+    def seen(labels, links):
+        plans.append(labels._jdf.queryExecution().optimizedPlan().toString())
+        return contracted(labels, links)
+
+    monkeypatch.setattr(chosenpath, "contracted", seen)
+    rows = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "e f g")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in chosenpath.near_duplicates(rows, 2, 80).collect()} == {1: 1, 2: 1, 3: 3}
+    assert plans and not any("RDD" in p for p in plans), plans
+
+
 def test_tokens_take_a_byte_each(spark):
     found = chosenpath.described(spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string"), 2)
     assert {r.doc_id: r.tokens and len(r.tokens) for r in found.collect()} == {1: chosenpath.TOKENS, 2: None}

@@ -16,6 +16,7 @@ from remitlens.operators.asof import asof_rate
 from remitlens.operators.coverage import flag_covered
 from remitlens.operators.ranking import number_within
 from remitlens.schemas import RATE, columns
+from remitlens.session import materialise
 from remitlens.sources.reference import PCT_PREFIX
 
 # Hard rules in evaluation order with their denial codes.
@@ -105,18 +106,57 @@ def submission_seq(claims: DataFrame) -> DataFrame:
 
 def enrich(
     claims: DataFrame, members: DataFrame, providers: DataFrame, benefits: DataFrame,
-    how: str = "inner",
+    how: str = "inner", keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Claims with the member, provider and benefit attributes the rules read."""
-    member_terms = members.select("member_id", "coverage_term_date", F.lit(True).alias("has_member"))
-    # Provider and benefit are joined first: both are small next to the claims.
-    provider_terms = providers.join(
+    """Claims with the member, provider and benefit attributes the rules read.
+
+    ``how='left'`` reads the member ids of ``keys`` (else of ``claims``) first, see ``_with_member_terms``.
+    """
+    # Provider and benefit are joined first: both are small next to the claims.  Written, their size is known
+    # before Spark decides how the claims meet them.
+    provider_terms = materialise(providers.join(
         benefits.select("provider_type", "auth_required_flag", "delegated_vendor",
                         F.lit(True).alias("has_benefit")),
         "provider_type", how,
     ).select("provider_id", "provider_type", "participating_flag", "contract_eff_date",
-             "auth_required_flag", "delegated_vendor", "has_benefit")
-    return claims.join(member_terms, "member_id", how).join(provider_terms, "provider_id", how)
+             "auth_required_flag", "delegated_vendor", "has_benefit"))
+    if how == "left":
+        covered = _with_member_terms(claims, members, claims if keys is None else keys)
+    else:
+        member_terms = members.select("member_id", "coverage_term_date", F.lit(True).alias("has_member"))
+        covered = claims.join(member_terms, "member_id", how)
+    return covered.join(provider_terms, "provider_id", how)
+
+
+def _with_member_terms(claims: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
+    """Left join with (coverage_term_date, has_member) that need not move the claims to the members.
+
+    A member without an end of coverage only says that it exists.  So the claims' distinct member ids meet the members, and
+    the claims meet the ids that no member has and the members with more to say: an end of coverage, or several rows.  Both
+    are written, so that Spark knows their size; where they are many, they are shuffled like any other table.
+    """
+    terms = members.select("member_id", "coverage_term_date")
+    repeated = terms.groupBy("member_id").agg(F.count("*").alias("_rows")).filter("_rows > 1")
+    said = materialise(
+        terms.join(repeated, "member_id", "left")
+        .filter(F.col("coverage_term_date").isNotNull() | F.col("_rows").isNotNull())
+        .drop("_rows")
+    )
+    asked = keys.select("member_id").filter(F.col("member_id").isNotNull()).distinct()
+    unknown = materialise(asked.join(terms, "member_id", "left_anti")).withColumn("_unknown", F.lit(True))
+    found = F.when(F.col("member_id").isNotNull() & F.col("_unknown").isNull(), F.lit(True))
+    return (
+        claims.join(unknown, "member_id", "left").join(said, "member_id", "left")
+        .withColumn("has_member", found).drop("_unknown")
+    )
+
+
+def mark_resubmissions(claims: DataFrame) -> DataFrame:
+    """Add ``is_resubmission``: another claim with the same submission key has a smaller id."""
+    return claims.join(resubmitted_groups(claims), SUBMISSION_KEY, "left").withColumn(
+        "is_resubmission",
+        F.coalesce(F.col("claim_id") > F.col("first_claim_id"), F.lit(False)),
+    ).drop("first_claim_id")
 
 
 def gather_facts(
@@ -127,15 +167,23 @@ def gather_facts(
     auths: DataFrame,
     fees: DataFrame,
 ) -> DataFrame:
-    """Every claim with all joined attributes; missing ones are NULL, no claim is lost."""
+    """Every claim with all joined attributes; missing ones are NULL, no claim is lost.
+
+    The claims may come with ``is_resubmission`` (``mark_resubmissions``) where they have been written in between.
+    """
     # Repeated submissions are marked first, while the rows do not carry the joined attributes yet.
-    numbered = claims.join(resubmitted_groups(claims), SUBMISSION_KEY, "left").withColumn(
-        "is_resubmission",
-        F.coalesce(F.col("claim_id") > F.col("first_claim_id"), F.lit(False)),
-    ).drop("first_claim_id")
+    written = "is_resubmission" in claims.columns
+    numbered = claims if written else mark_resubmissions(claims)
     # Stored amounts are re-derived, so only what the rules read is carried.
-    enriched = asof_rate(enrich(numbered, members, providers, benefits, how="left"), fees)
-    return flag_covered(enriched, auths, dates=claims)
+    enriched = asof_rate(enrich(numbered, members, providers, benefits, how="left", keys=claims), fees)
+    if not written:
+        return flag_covered(enriched, auths, dates=claims)
+    # Reading written claims twice is cheap, so only those that need an authorization are moved to look for one;
+    # of the others no rule asks whether they have it.
+    needed = F.coalesce("auth_required_flag", F.lit(False))
+    return flag_covered(enriched.filter(needed), auths, dates=claims).unionByName(
+        enriched.filter(~needed).withColumn("auth_on_file", F.lit(False))
+    )
 
 
 def apply_config(facts: DataFrame, config: DataFrame, prefix: str = "") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Settings the jobs are written for.  None of them changes a result.
 SETTINGS = {
@@ -58,16 +59,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 @contextmanager
 def method_limit(spark: SparkSession):
-    """Writes inside run with the method limit the jobs are written for; the session's own comes back afterwards.
+    """Writes inside run with the method limit the jobs are written for; the session's own settings come back afterwards.
 
-    Stages as wide as the raw text's otherwise run as one method that the JVM only interprets.
+    Stages as wide as the raw text's otherwise run as one method that the JVM only interprets.  A write's shuffle files go as
+    soon as it ends, instead of whenever the driver collects its garbage: nothing reads them once the rows are written.
     """
-    before = spark.conf.get(METHOD_LIMIT)
-    spark.conf.set(METHOD_LIMIT, SETTINGS[METHOD_LIMIT])
+    wanted = {METHOD_LIMIT: SETTINGS[METHOD_LIMIT], FREE_SHUFFLES: "true"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(METHOD_LIMIT, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -79,7 +84,7 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/remitlens-{uuid.uuid4().hex}"
     with method_limit(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -51,6 +51,8 @@ def provider_type(suppkey: str) -> str:
 CENTS = "cast({0} as decimal(12,2))"
 CLAIM_VALUES = {
     "claim_id": padded("CLM-", "n", 9),
+    "member_id": padded("M6", "o_custkey", 7),
+    "provider_id": padded("P8", "suppkey", 5),
     "procedure_code": f"concat('C', lpad(cast(suppkey % 10 * 3 + {h('n', 113, 3)} as string), 3, '0'))",
     "units": f"cast(if(suppkey % 10 = 4, 8 + {h('n', 127, 33)}, 1) as smallint)",
     "service_from_date": f"date_add(order_day, cast({h('n', 107, 4)} as int))",
@@ -59,6 +61,14 @@ CLAIM_VALUES = {
 LAG_DAYS = """cast(case when roll < 40 then 91 + roll % 5
                         when roll < 70 then 100 + roll * 5
                         else 2 + roll % 80 end as int)"""
+#: Columns that are the same in every new claim.
+NEW_CLAIM = {
+    "modifier_list": "cast(null as string)",
+    "adjudicated_date": "cast(null as date)",
+    "expected_allowed_amount": "cast(null as decimal(12,2))",
+    "paid_amount": "cast(null as decimal(12,2))",
+    "adjudication_status": "'PENDING'",
+}
 
 
 class Sample:
@@ -144,19 +154,14 @@ class Sample:
 
     @cached_property
     def _orders(self) -> DataFrame:
-        """Order with its provider and all columns that do not depend on the line."""
+        """Order with the numbers of its member and provider; their ids are spelled out after the last shuffle, as text is wide."""
         provider = h("o_orderkey", 103, "(SELECT count(*) FROM {suppliers})")
-        orders = self.spark.sql(
+        return self.spark.sql(
             f"SELECT o_orderkey AS l_orderkey, o_custkey, to_date(o_orderdate) AS order_day, "
             f"{provider} AS suppkey FROM {{orders}}",
             orders=self.raw("orders"),
             suppliers=self.raw("supplier"),
         )
-        return orders.selectExpr(
-            "*",
-            f"{padded('M6', 'o_custkey', 7)} as member_id",
-            f"{padded('P8', 'suppkey', 5)} as provider_id",
-        )
 
     @cached_property
     def _booked_orders(self) -> DataFrame:
@@ -188,12 +193,8 @@ class Sample:
         )
         claims = self._claim_lines(lines, self._booked_orders).selectExpr(
             "*",
-            "cast(null as string) as modifier_list",
             "service_from_date as service_thru_date",
-            "cast(null as date) as adjudicated_date",
-            "cast(null as decimal(12,2)) as expected_allowed_amount",
-            "cast(null as decimal(12,2)) as paid_amount",
-            "'PENDING' as adjudication_status",
+            *[f"{value} as {name}" for name, value in NEW_CLAIM.items()],
         )
         return claims.select(*columns("claim"))
 

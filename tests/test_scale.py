@@ -1,5 +1,7 @@
 """What a step reads, shuffles or runs twice: seen in its plan or counted, on a few rows."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from samplemap import queries
 from remitlens.operators.merge import merge_claims
 from remitlens.plans.cleanse import cleanse_and_load
 from remitlens.schemas import SCHEMAS
-from remitlens.session import METHOD_LIMIT, SETTINGS, materialise, no_rows
+from remitlens.session import FREE_SHUFFLES, METHOD_LIMIT, SETTINGS, materialise, no_rows
 from remitlens.sources.store import ClaimStore
 from samplemap.queries import Run
 from tests.helpers import claims, day, members, providers, raw, rows
@@ -139,3 +141,74 @@ def test_denied_without_denial_writes_the_decisions_alone(spark, sample, monkeyp
     monkeypatch.setattr(queries, "materialise", noted)
     queries.QUERIES["denied_without_denial"](spark, sample)
     assert len(written) == 2 and "billed_amount" not in written[-1] and "adjudication_status" in written[-1]
+
+
+def shuffles_on_disk(spark) -> set:
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = []
+    while files.hasNext():
+        names.append(files.next().getName())
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    before = shuffles_on_disk(spark)
+    kept = spark.conf.get(FREE_SHUFFLES)
+    written = materialise(spark.range(100).groupBy(F.col("id") % 7).count())
+    assert written.count() == 7 and spark.conf.get(FREE_SHUFFLES) == kept
+    # The files go in the background; those of the count may stay.
+    for _ in range(50):
+        left = shuffles_on_disk(spark) - before
+        if len(left) <= 1:
+            break
+        time.sleep(0.2)
+    assert len(left) <= 1, left
+
+
+def test_claims_do_not_move_to_the_members(spark, sample):
+    r = Run(spark, sample)
+    # The table of all members is no part of the joins, only what they say beyond being there.
+    assert "c_custkey" not in plan(adj.gather_facts(*r.engine_inputs[:6]))
+
+
+def test_member_terms_are_those_of_a_plain_join(spark):
+    ended = day("2026-01-05")
+    known = members(
+        spark, {"member_id": "M1"}, {"member_id": "M2", "coverage_term_date": ended}, {"member_id": "M3"}, {"member_id": "M3"},
+        {"member_id": "M4"}, {"member_id": "M4", "coverage_term_date": ended}, {"member_id": None}, {"member_id": None, "coverage_term_date": ended},
+    )
+    asked = claims(spark, *[{"claim_id": f"C{k}", "member_id": m} for k, m in enumerate(["M1", "M2", "M3", "M4", "M9", None])])
+    benefits = spark.createDataFrame([("Physician", True, None)], "provider_type string, auth_required_flag boolean, delegated_vendor string")
+    got = adj.enrich(asked, known, providers(spark), benefits, how="left")
+    names = ["claim_id", "member_id", "coverage_term_date", "has_member", "provider_type", "has_benefit"]
+    terms = known.select("member_id", "coverage_term_date", F.lit(True).alias("has_member"))
+    wanted = asked.join(terms, "member_id", "left").selectExpr(*names[:4], "'Physician' provider_type", "true has_benefit")
+    assert rows(got, *names) == rows(wanted, *names) and got.count() == 8
+
+
+def test_marked_claims_adjudicate_alike(spark, sample):
+    r = Run(spark, sample)
+    names = queries.columns("claim") + ["denying_rule_id", "fail_030", "fail_050", "is_evaluated"]
+    marked, plain = adj.adjudicate_claims(*r.staged_inputs), r.adjudicated
+    assert "is_resubmission" in r.staged_inputs[0].columns and rows(marked, *names) == rows(plain, *names)
+    # Only claims whose type needs an authorization are moved to look for one.
+    assert "Union" in plan(marked)
+
+
+def test_new_claims_are_written_without_what_is_alike_in_all(spark, sample, monkeypatch):
+    written = []
+
+    def noted(df):
+        written.append(df.columns)
+        return materialise(df)
+
+    monkeypatch.setattr(queries, "materialise", noted)
+    r = Run(spark, sample)
+    names = queries.columns("claim")
+    assert rows(r.booked, *names) == rows(r.claims, *names) and r.booked.dtypes == r.claims.dtypes
+    assert "paid_amount" not in written[0] and "billed_amount" in written[0]
+
+
+def test_a_stored_outcome_meets_written_claims(spark, sample):
+    # Neither the claims nor the authorizations are derived again beside the stored outcome.
+    assert "l_orderkey" not in plan(queries.QUERIES["outcome_write_back"](spark, sample))

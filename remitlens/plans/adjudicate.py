@@ -347,8 +347,8 @@ def adjudicate_claims(
     )
 
 
-def rule_trace(outcome: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per claim and rule: PASS, FAIL, or SKIP after the denying rule."""
+def rule_trace(outcome: DataFrame, rules: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per claim and rule: PASS, FAIL, or SKIP after the denying rule; ``carried`` columns of the outcome come along."""
     chain = rules.agg(
         F.sort_array(F.collect_list(F.struct("rule_sequence", "rule_id")))
     ).scalar()
@@ -371,7 +371,7 @@ def rule_trace(outcome: DataFrame, rules: DataFrame) -> DataFrame:
         .otherwise(F.lit("PASS"))
     )
     return rows.select(
-        "claim_id", "rule_id", result.alias("rule_result"), _evidence().alias("evidence")
+        "claim_id", "rule_id", result.alias("rule_result"), _evidence().alias("evidence"), *carried
     )
 
 

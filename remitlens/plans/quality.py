@@ -70,27 +70,40 @@ def denied_without_denial(claims: DataFrame, denials: DataFrame) -> DataFrame:
     )
 
 
-def rule_sequence_violations(trace: DataFrame, denials: DataFrame, rules: DataFrame) -> DataFrame:
-    """Trace rows of denied claims that are not SKIP after, or FAIL before, the denying rule."""
-    step = rules.select("rule_id", "rule_sequence")
-    denied = denials.select(
-        "claim_id", F.col("rule_id").alias("denying_rule_id")
-    ).join(
+DENIAL_SEQUENCE = "denial_sequence"
+
+
+def _denied(denials: DataFrame, rules: DataFrame) -> DataFrame:
+    """(claim_id, denying_rule_id, place of that rule) of every denial."""
+    return denials.select("claim_id", F.col("rule_id").alias("denying_rule_id")).join(
         rules.select(
-            F.col("rule_id").alias("denying_rule_id"), F.col("rule_sequence").alias("denied_at")
+            F.col("rule_id").alias("denying_rule_id"), F.col("rule_sequence").alias(DENIAL_SEQUENCE)
         ),
         "denying_rule_id",
     )
+
+
+def meet_denials(outcome: DataFrame, denials: DataFrame, rules: DataFrame) -> DataFrame:
+    """Outcomes of claims with a denial and its ``denial_sequence``, once for each of their denials.
+
+    A trace made of these rows needs no join with the denials, which would move a row per claim and rule.
+    """
+    return outcome.join(_denied(denials, rules).drop("denying_rule_id"), "claim_id")
+
+
+def rule_sequence_violations(trace: DataFrame, denials: DataFrame, rules: DataFrame) -> DataFrame:
+    """Trace rows of denied claims that are not SKIP after, or FAIL before, the denying rule.
+
+    A trace with ``denial_sequence`` has met the denials already (``meet_denials``).
+    """
     c = F.col
     # No SKIP breaks the sequence, so the rows that are one stay out of the join.
-    return (
-        trace.filter(c("rule_result") != "SKIP")
-        .join(step, "rule_id")
-        .join(denied, "claim_id")
-        .filter(
-            ((c("rule_sequence") > c("denied_at")) & (c("rule_result") != "SKIP"))
-            | ((c("rule_sequence") < c("denied_at")) & (c("rule_result") == "FAIL"))
-        )
+    rows = trace.filter(c("rule_result") != "SKIP").join(rules.select("rule_id", "rule_sequence"), "rule_id")
+    if DENIAL_SEQUENCE not in trace.columns:
+        rows = rows.join(_denied(denials, rules), "claim_id")
+    return rows.filter(
+        ((c("rule_sequence") > c(DENIAL_SEQUENCE)) & (c("rule_result") != "SKIP"))
+        | ((c("rule_sequence") < c(DENIAL_SEQUENCE)) & (c("rule_result") == "FAIL"))
     )
 
 

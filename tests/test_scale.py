@@ -217,3 +217,30 @@ def test_a_stored_outcome_meets_written_claims(spark, sample):
 def test_a_merge_joins_two_written_tables(spark, sample):
     text = plan(queries.QUERIES["merge_claims"](spark, sample))
     assert text.count("Join") == 1 and "l_orderkey" not in text
+
+
+def test_denials_meet_the_claims_before_the_trace_unfolds(spark, sample):
+    lines = plan(queries.QUERIES["rule_sequence_violations"](spark, sample)).splitlines()
+    unfold = next(k for k, line in enumerate(lines) if "Generate" in line)
+    meet = [k for k, line in enumerate(lines) if "Join Inner" in line and "claim_id" in line]
+    assert meet and min(meet) > unfold
+
+
+def test_a_trace_that_met_its_denials_breaks_alike(spark):
+    outcome = spark.createDataFrame(
+        [("C1", "R-020", 1, 1), ("C1", "R-020", 1, 1), ("C2", None, 0, 0), (None, "R-020", 1, 1), ("C3", "R-010", 1, 0)],
+        "claim_id string, denying_rule_id string, fail_010 int, fail_020 int",
+    )
+    for name in ["fail_030", "fail_040", "fail_050", "fail_060", "fail_070", "filing_lag_days", "filing_limit", "filing_standard",
+                 "price_pct_loaded", "price_pct_standard", "allowed_loaded", "allowed_standard"]:
+        outcome = outcome.withColumn(name, F.lit(0))
+    for name in ["member_id", "provider_type", "delegated_vendor"]:
+        outcome = outcome.withColumn(name, F.lit("x"))
+    outcome = outcome.withColumn("service_from_date", F.lit("2026-01-01").cast("date"))
+    rules = spark.createDataFrame([("R-010", 10), ("R-020", 20), ("R-030", 30)], "rule_id string, rule_sequence int")
+    denials = spark.createDataFrame([("C1", "R-020"), ("C3", "R-010"), ("C3", "R-030"), (None, "R-010")], "claim_id string, rule_id string")
+    names = ["claim_id", "rule_id", "rule_result"]
+    plain = quality.rule_sequence_violations(adj.rule_trace(outcome, rules), denials, rules)
+    met = adj.rule_trace(quality.meet_denials(outcome, denials, rules), rules, carried=(quality.DENIAL_SEQUENCE,))
+    found = rows(quality.rule_sequence_violations(met, denials, rules), *names)
+    assert found == rows(plain, *names) and len(found) == 3

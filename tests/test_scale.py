@@ -244,3 +244,8 @@ def test_a_trace_that_met_its_denials_breaks_alike(spark):
     met = adj.rule_trace(quality.meet_denials(outcome, denials, rules), rules, carried=(quality.DENIAL_SEQUENCE,))
     found = rows(quality.rule_sequence_violations(met, denials, rules), *names)
     assert found == rows(plain, *names) and len(found) == 3
+
+
+def test_the_assertions_write_each_large_count_by_itself(spark, sample):
+    lines = plan(queries.QUERIES["assertion_grid"](spark, sample)).splitlines()
+    assert not [line for line in lines if "Join" in line and ("claim_id" in line or "FullOuter" in line)]
